@@ -33,82 +33,93 @@ def _running_total(flags: Column) -> Column:
 
 # --- first match per group and shift --------------------------------------------------------
 
+def _grouped(panel: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per group: its values ``v``, the target group ``_first`` and running change counts."""
+    return panel.select(
+        *keep, F.get("series", F.lit(0)).alias("_first"), F.posexplode("series").alias("grp", "v")
+    ).withColumn("_sum", _running_total(A.change_flags(F.col("v"))))
+
+
+class _Shift:
+    """The parts of one shift's keys, as expressions on a ``_grouped`` row."""
+
+    def __init__(self, s: Column, positions: int, target_back: int, nonzero_min: int):
+        n = F.lit(positions)
+        self.suffix, self.prefix = F.slice("v", s + 1, n - s), F.slice("v", F.lit(1), n - s)
+        self.suffix_nz = F.get("_sum", n) - F.get("_sum", s)
+        self.prefix_nz = F.get("_sum", n - s)
+        self.target = F.get("_first", s - target_back)
+        self.suffix_ok = (self.suffix_nz >= nonzero_min) & (self.target > 0)
+        self.prefix_ok = self.prefix_nz >= nonzero_min
+
+
+def _shifts(positions: int) -> Column:
+    return F.sequence(F.lit(2), F.lit(positions - 3))
+
+
 def lag_keys(
-    panel: DataFrame,
-    positions: int,
-    target_back: int = 2,
-    nonzero_min: int = 2,
-    shifts: tuple[int, int] | None = None,
-    keep: tuple[str, ...] = ("id", "is_train", "is_fake", "row_pos"),
-    texts: bool = False,
+    panel: DataFrame, positions: int, target_back: int = 2, nonzero_min: int = 2, keep: tuple[str, ...] = ("id",)
 ) -> DataFrame:
-    """Per row, group and shift: target, both change counts and both key hashes.
+    """Per row, group and shift: target, both change counts and both keys as joined text.
 
-    ``suffix`` is the row seen as an earlier one, ``prefix`` the row seen as a later one. A hash is
-    NULL where the key is blank: too few changes, or for the suffix also no positive target.
-    Changes compare with the cell before, also the one just outside the slice.
+    ``suffix`` is the row seen as an earlier one, ``prefix`` the row seen as a later one. A key is
+    '' when it has too few changes; the suffix also, and then the target is -1, without a positive
+    target. Changes compare with the cell before, also the one just outside the slice.
     """
-    lo, hi = shifts or (2, positions - 3)
-    groups = panel.select(
-        *keep, F.get("series", F.lit(0)).alias("_first"), F.posexplode("series").alias("grp", "v")
-    ).withColumn("_sum", _running_total(A.change_flags(F.col("v"))))
-    n = F.lit(positions)
+    def joined(ok: Column, a: Column) -> Column:
+        return F.when(ok, F.array_join(F.transform(a, lambda x: x.cast("string")), "_")).otherwise("")
 
     def one(s: Column) -> Column:
-        suffix, prefix = F.slice("v", s + 1, n - s), F.slice("v", F.lit(1), n - s)
-        t_nz = F.get("_sum", n) - F.get("_sum", s)
-        s_nz = F.get("_sum", n - s)
-        target = F.get("_first", s - target_back)
-        t_ok, s_ok = (t_nz >= nonzero_min) & (target > 0), s_nz >= nonzero_min
-        t1, t2 = _hashes(suffix)
-        p1, p2 = _hashes(prefix)
-        fields = [
+        k = _Shift(s, positions, target_back, nonzero_min)
+        return F.struct(
             s.alias("shift"),
-            F.when(t_ok, target).otherwise(F.lit(-1).cast("long")).alias("target"),
-            t_nz.alias("suffix_nz"), s_nz.alias("prefix_nz"),
-            F.when(t_ok, t1).alias("suffix_h1"), F.when(t_ok, t2).alias("suffix_h2"),
-            F.when(s_ok, p1).alias("prefix_h1"), F.when(s_ok, p2).alias("prefix_h2"),
-        ]
-        if texts:
-            def joined(a: Column) -> Column:
-                return F.array_join(F.transform(a, lambda x: x.cast("string")), "_")
-
-            fields += [
-                F.when(t_ok, joined(suffix)).otherwise("").alias("suffix_key"),
-                F.when(s_ok, joined(prefix)).otherwise("").alias("prefix_key"),
-            ]
-        return F.struct(*fields)
-
-    return groups.select(
-        *keep, "grp", F.inline(F.transform(F.sequence(F.lit(lo), F.lit(hi)), one))
-    )
+            F.when(k.suffix_ok, k.target).otherwise(F.lit(-1).cast("long")).alias("target"),
+            k.suffix_nz.alias("suffix_nz"), k.prefix_nz.alias("prefix_nz"),
+            joined(k.suffix_ok, k.suffix).alias("suffix_key"),
+            joined(k.prefix_ok, k.prefix).alias("prefix_key"),
+        )
+
+    rows = _grouped(panel, list(keep))
+    return rows.select(*keep, "grp", F.inline(F.transform(_shifts(positions), one)))
 
 
-def lag_match_first(panel: DataFrame, positions: int, nonzero_min: int = 2) -> DataFrame:
+def lag_match_first(
+    panel: DataFrame, positions: int, target_back: int = 2, nonzero_min: int = 2
+) -> DataFrame:
     """Every later row with the first earlier row, in file order, that has its key.
 
     Train rows match train rows and other rows match other rows; fake rows outside the train part
-    take no part. Result: ``child_id, parent_id, is_train, grp, shift, target, nz``.
+    take no part. Blank keys are dropped inside the row, before anything is hashed or shuffled.
+    Result: ``child_id, parent_id, is_train, grp, shift, target, nz``.
     """
-    rows = panel.where(F.col("is_train") | ~F.col("is_fake"))
-    keys = lag_keys(rows, positions, nonzero_min=nonzero_min)
+    rows = _grouped(panel.where(F.col("is_train") | ~F.col("is_fake")), ["id", "is_train", "row_pos"])
     on = ["is_train", "grp", "shift", *KEY]
+
+    def shift(s: Column) -> _Shift:
+        return _Shift(s, positions, target_back, nonzero_min)
+
+    def earlier(s: Column) -> Column:
+        h1, h2 = _hashes(shift(s).suffix)
+        return F.struct(
+            s.alias("shift"), h1, h2, shift(s).target.alias("target"), shift(s).suffix_nz.alias("nz")
+        )
+
+    def later(s: Column) -> Column:
+        h1, h2 = _hashes(shift(s).prefix)
+        return F.struct(s.alias("shift"), h1, h2)
+
+    offered = F.transform(F.filter(_shifts(positions), lambda s: shift(s).suffix_ok), earlier)
+    asked = F.transform(F.filter(_shifts(positions), lambda s: shift(s).prefix_ok), later)
     build = (
-        keys.where(F.col("suffix_h1").isNotNull())
-        .withColumnsRenamed({"suffix_h1": "h1", "suffix_h2": "h2"})
+        rows.select("id", "is_train", "row_pos", "grp", F.inline(offered))
         .groupBy(*on)
         .agg(
             F.min_by(
-                F.struct(F.col("id").alias("parent_id"), "target", F.col("suffix_nz").alias("nz")),
-                F.struct("row_pos", "id"),
+                F.struct(F.col("id").alias("parent_id"), "target", "nz"), F.struct("row_pos", "id")
             ).alias("p")
         )
     )
-    probe = (
-        keys.where(F.col("prefix_h1").isNotNull())
-        .withColumnsRenamed({"prefix_h1": "h1", "prefix_h2": "h2"})
-        .select(F.col("id").alias("child_id"), *on)
-    )
+    probe = rows.select(F.col("id").alias("child_id"), "is_train", "grp", F.inline(asked))
     return lookup(probe, build, on, "inner").select(
         "child_id", "p.parent_id", "is_train", "grp", "shift", "p.target", "p.nz"
     )
@@ -181,10 +192,12 @@ def lag_match_tuple(
 
     def sides(number: int, data: Column, count: str, need) -> list[Column]:
         def record(o: Column, slices: Column, is_child: bool) -> Column:
-            h1, h2 = _hashes(slices)
-            return F.struct(
-                F.lit(number).alias("pass"), o.alias("offset"), h1, h2, F.lit(is_child).alias("is_child"),
-                F.get("_first", o - 2).alias("pred"),
+            return A.let(
+                slices,
+                lambda a: F.struct(
+                    F.lit(number).alias("pass"), o.alias("offset"), *_hashes(a),
+                    F.lit(is_child).alias("is_child"), F.get("_first", o - 2).alias("pred"),
+                ),
             )
 
         last = max_offset if number == 0 else first_group_to

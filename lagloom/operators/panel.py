@@ -1,6 +1,7 @@
 """Wide panels: a fixed number of groups, each an ordered run of positions, as nested arrays.
 
-All statistics are expressions over the row's arrays, so they need no shuffle.
+All statistics are expressions over the row's arrays, so they need no shuffle. Those with several
+values return one struct, whose shared parts are computed once; ``spread`` turns it into columns.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ def assemble_panel(cells: DataFrame, groups: int, positions: int) -> DataFrame:
 
     A row gathers at most ``groups * positions`` cells, whatever the size of the input.
     """
-    packed = cells.groupBy("id").agg(
+    # A fixed partition count, which adaptive execution leaves alone: the rows are few bytes but
+    # the work on them is large. Grouping gathers cells anyway, so this is its only shuffle.
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = cells.repartition(parts, "id").groupBy("id").agg(
         F.collect_list(F.struct("grp", "pos", "value")).alias("_cells")
     )
     by_group = F.transform(
@@ -44,6 +48,15 @@ def assemble_panel(cells: DataFrame, groups: int, positions: int) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, keep: list[str], stats: Column) -> DataFrame:
+    """``keep`` and the fields of a struct expression as columns."""
+    return df.select(*keep, stats.alias("_stats")).select(*keep, "_stats.*")
+
+
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
 def panel_from_columns(df: DataFrame, columns: list[list[str]], keep: list[str]) -> DataFrame:
     """A wide table -> nested arrays, by the ordered column names of each group."""
     return df.select(*keep, F.array(*[F.array(*names) for names in columns]).alias("series"))
@@ -56,25 +69,26 @@ def unpivot_panel(df: DataFrame, keep: list[str], series: str = "series") -> Dat
     )
 
 
-def basic_stats(values: Column) -> dict[str, Column]:
-    nz = A.nonzero(values)
-    return {
-        "nz_mean": A.mean(nz),
-        "nz_max": F.array_max(nz),
-        "nz_min": F.array_min(nz),
-        "ez": F.size(values) - F.size(nz),
-        "mean": A.mean(values),
-        "max": F.array_max(values),
-        "min": F.array_min(values),
-    }
+def basic_stats(values: Column) -> Column:
+    return A.let(
+        values,
+        lambda a: A.let(
+            A.nonzero(a),
+            lambda nz: _struct(
+                nz_mean=A.mean(nz), nz_max=F.array_max(nz), nz_min=F.array_min(nz),
+                ez=F.size(a) - F.size(nz),
+                mean=A.mean(a), max=F.array_max(a), min=F.array_min(a),
+            ),
+        ),
+    )
 
 
 def group_stats(series: Column) -> Column:
     """Array of ``struct(nz_mean, ez)``, one per group."""
     return F.transform(
         series,
-        lambda g: F.struct(
-            A.mean(A.nonzero(g)).alias("nz_mean"), (F.size(g) - F.size(A.nonzero(g))).alias("ez")
+        lambda g: A.let(
+            A.nonzero(g), lambda nz: _struct(nz_mean=A.mean(nz), ez=F.size(g) - F.size(nz))
         ),
     )
 
@@ -92,18 +106,18 @@ def day_stats(series: Column, axis: str = "pos") -> Column:
     return group_stats(by_position)
 
 
-def full_stats(values: Column) -> dict[str, Column]:
-    nz = A.nonzero(values)
-    return {
-        "full_sum": A.total(values),
-        "full_var": A.variance(values),
-        "full_nzvar": A.variance(nz),
-        "full_median": A.median(values),
-        "full_mean": A.mean(values),
-        "full_nzmean": A.mean(nz),
-        "full_std": F.sqrt(A.variance(values)),
-        "full_nzstd": F.sqrt(A.variance(nz)),
-    }
+def full_stats(values: Column) -> Column:
+    def both(a: Column, nz: Column) -> Column:
+        return A.let(
+            F.array(A.variance(a), A.variance(nz)),
+            lambda v: _struct(
+                full_sum=A.total(a), full_var=F.get(v, F.lit(0)), full_nzvar=F.get(v, F.lit(1)),
+                full_median=A.median(a), full_mean=A.mean(a), full_nzmean=A.mean(nz),
+                full_std=F.sqrt(F.get(v, F.lit(0))), full_nzstd=F.sqrt(F.get(v, F.lit(1))),
+            ),
+        )
+
+    return A.let(values, lambda a: A.let(A.nonzero(a), lambda nz: both(a, nz)))
 
 
 def order_stats(group: Column) -> Column:
@@ -111,33 +125,40 @@ def order_stats(group: Column) -> Column:
     return F.array_sort(group)
 
 
-def log_stats(group: Column) -> dict[str, Column]:
-    nz = A.nonzero(group)
-    return {
-        "nz_mean_log": F.log1p(A.mean(nz)),
-        "nz_log_mean": A.mean(F.transform(nz, lambda x: F.log1p(x.cast("double")))),
-        "nz_median_log": F.log1p(A.median(nz)),
-    }
+def log_stats(group: Column) -> Column:
+    return A.let(
+        A.nonzero(group),
+        lambda nz: _struct(
+            nz_mean_log=F.log1p(A.mean(nz)),
+            nz_log_mean=A.mean(F.transform(nz, lambda x: F.log1p(x.cast("double")))),
+            nz_median_log=F.log1p(A.median(nz)),
+        ),
+    )
 
 
-def number_stats(cells: Column) -> dict[str, Column]:
+def number_stats(cells: Column) -> Column:
     """Counts over an array of cell texts; the largest frequency of an empty set is 0."""
-    nz = F.filter(cells, N.is_nonzero)
-    fake = F.size(F.filter(cells, N.is_fake_number))
-    frequency = A.let(
-        nz,
-        lambda a: F.array_max(
-            F.transform(F.array_distinct(a), lambda v: F.size(F.filter(a, lambda x: x == v)))
+    def counts(all_cells: Column, nz: Column, distinct: Column) -> Column:
+        frequency = F.array_max(
+            F.transform(distinct, lambda v: F.size(F.filter(nz, lambda x: x == v)))
+        )
+        divided = F.filter(all_cells, lambda x: N.is_divided_number(x) | N.is_weird_number(x))
+        return A.let(
+            F.size(F.filter(nz, N.is_fake_number)),
+            lambda fake: _struct(
+                cnt_nz=F.size(nz), len_nz=F.size(distinct),
+                cnt_mode_nz=F.coalesce(frequency, F.lit(0)),
+                cnt_div=F.size(divided), cnt_fake=fake, cnt_norm=F.size(nz) - fake,
+            ),
+        )
+
+    return A.let(
+        cells,
+        lambda a: A.let(
+            F.filter(a, N.is_nonzero),
+            lambda nz: A.let(F.array_distinct(nz), lambda distinct: counts(a, nz, distinct)),
         ),
     )
-    return {
-        "cnt_nz": F.size(nz),
-        "len_nz": F.size(F.array_distinct(nz)),
-        "cnt_mode_nz": F.coalesce(frequency, F.lit(0)),
-        "cnt_div": F.size(F.filter(cells, lambda x: N.is_divided_number(x) | N.is_weird_number(x))),
-        "cnt_fake": fake,
-        "cnt_norm": F.size(nz) - fake,
-    }
 
 
 def digit_histogram(cells: Column) -> Column:
@@ -163,17 +184,16 @@ def digit_histogram(cells: Column) -> Column:
     )
 
 
-def digit_numbers(histogram: Column) -> dict[str, Column]:
+def digit_numbers(histogram: Column) -> Column:
     """Base-10 compositions of the histogram, the first position weighing 1000."""
     def compose(score) -> Column:
         parts = F.transform(histogram, lambda row, p: score(row) * F.pow(F.lit(10.0), p + 3))
         return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
 
-    return {
-        "dig_mode": compose(A.argmax),
-        "dig_mean": compose(A.mean),
-        "dig_nz": compose(lambda row: F.size(A.nonzero(row))),
-    }
+    return _struct(
+        dig_mode=compose(A.argmax), dig_mean=compose(A.mean),
+        dig_nz=compose(lambda row: F.size(A.nonzero(row))),
+    )
 
 
 def repair_cells(cells: Column) -> Column:
@@ -181,11 +201,15 @@ def repair_cells(cells: Column) -> Column:
     return F.transform(cells, N.repair_value)
 
 
-def repair_histogram(repaired: Column) -> dict[str, Column]:
+def repair_histogram(repaired: Column) -> Column:
     """Per row count of each repair factor."""
-    return {
-        f"rep_factor_{k}": F.size(F.filter(repaired, lambda r: r.factor == k)) for k in N.REPAIR_FACTORS
-    }
+    factors = F.filter(F.transform(repaired, lambda r: r.factor), lambda f: f > 1)
+    return A.let(
+        factors,
+        lambda a: _struct(
+            **{f"rep_factor_{k}": F.size(F.filter(a, lambda f: f == k)) for k in N.REPAIR_FACTORS}
+        ),
+    )
 
 
 def repaired_group_mean(groups: Column, wanted: list[int]) -> dict[str, Column]:
@@ -196,33 +220,46 @@ def repaired_group_mean(groups: Column, wanted: list[int]) -> dict[str, Column]:
     return {f"rep_gr{g}_nz_mean": A.mean(A.nonzero(values(g))) for g in wanted}
 
 
-def special_value_counts(cells: Column, values: tuple[int, ...] = N.SPECIAL_VALUES) -> dict[str, Column]:
-    whole = F.transform(cells, N.int_part)
-    return {f"v{v}_cnt": F.size(F.filter(whole, lambda x: x == str(v))) for v in values}
+def special_value_counts(cells: Column, values: tuple[int, ...] = N.SPECIAL_VALUES) -> Column:
+    wanted = [str(v) for v in values]
+    return A.let(
+        F.filter(F.transform(cells, N.int_part), lambda x: x.isin(*wanted)),
+        lambda a: _struct(
+            **{f"v{v}_cnt": F.size(F.filter(a, lambda x: x == v)) for v in wanted}
+        ),
+    )
 
 
-def string_stats(cells: Column) -> dict[str, Column]:
+def string_stats(cells: Column) -> Column:
     """Statistics of the integer parts ending in at least three zeros; 0 where there is none."""
-    whole = F.transform(cells, N.int_part)
-    round_ones = F.filter(whole, lambda x: N.count_trailing_zeros(x) >= 3)
-    n = F.size(round_ones).cast("double")
-    zeros = A.total(F.transform(round_ones, N.count_trailing_zeros))
-    value = A.total(F.transform(round_ones, lambda x: x.cast("double")))
-    digits = F.flatten(
-        F.transform(round_ones, lambda x: F.split(F.regexp_replace(x, "[^1-9]", ""), ""))
-    )
-    digits = F.transform(F.filter(digits, lambda x: x != ""), lambda x: x.cast("int"))
-
     def ratio(a: Column, b: Column) -> Column:
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
-    return {
-        "str_zeros_mean": ratio(zeros, n),
-        "str_len_mean": ratio(A.total(F.transform(whole, F.length)), F.size(cells).cast("double")),
-        "spec_mean": ratio(value, n),
-        "str_nz_mean": ratio(A.total(digits), F.size(digits).cast("double")),
-        "str_nz_mean_full": ratio(A.total(digits), n),
-    }
+    def digits(round_ones: Column) -> Column:
+        text = F.regexp_replace(F.array_join(round_ones, ""), "[^1-9]", "")
+        return F.transform(
+            F.filter(F.split(text, ""), lambda x: x != ""), lambda x: x.cast("int")
+        )
+
+    def stats(whole: Column, round_ones: Column) -> Column:
+        n = F.size(round_ones).cast("double")
+        return A.let(
+            digits(round_ones),
+            lambda dig: _struct(
+                str_zeros_mean=ratio(A.total(F.transform(round_ones, N.count_trailing_zeros)), n),
+                str_len_mean=ratio(A.total(F.transform(whole, F.length)), F.size(whole).cast("double")),
+                spec_mean=ratio(A.total(F.transform(round_ones, lambda x: x.cast("double"))), n),
+                str_nz_mean=ratio(A.total(dig), F.size(dig).cast("double")),
+                str_nz_mean_full=ratio(A.total(dig), n),
+            ),
+        )
+
+    return A.let(
+        F.transform(cells, N.int_part),
+        lambda whole: A.let(
+            F.filter(whole, lambda x: x.endswith("000")), lambda round_ones: stats(whole, round_ones)
+        ),
+    )
 
 
 def share_of_total(series: Column, group: int, reference: list[int]) -> Column:
@@ -237,20 +274,24 @@ def share_of_total(series: Column, group: int, reference: list[int]) -> Column:
     return F.transform(F.get(series, F.lit(group)), lambda _, p: share(p))
 
 
-def first_three_nonzero(values: Column) -> dict[str, Column]:
+def first_three_nonzero(values: Column) -> Column:
     """log1p of the first three positive values (0 if missing) and the gaps before them (-1)."""
     hits = F.filter(
         F.transform(values, lambda v, i: F.struct(i.alias("i"), v.cast("double").alias("v"))),
         lambda z: z.v > 0,
     )
-    z = [F.get(hits, F.lit(k)) for k in range(3)]
-    value = [F.coalesce(F.log1p(x.v), F.lit(0.0)) for x in z]
-    gap = [z[0].i, z[1].i - z[0].i - 1, z[2].i - z[1].i - 1]
-    gap = [F.coalesce(g, F.lit(-1)) for g in gap]
-    return {
-        "prev_value": value[0], "prev2_value": value[1], "prev3_value": value[2],
-        "time_delta": gap[0], "time2_delta": gap[1], "time3_delta": gap[2],
-    }
+
+    def fields(h: Column) -> Column:
+        z = [F.get(h, F.lit(k)) for k in range(3)]
+        value = [F.coalesce(F.log1p(x.v), F.lit(0.0)) for x in z]
+        gap = [z[0].i, z[1].i - z[0].i - 1, z[2].i - z[1].i - 1]
+        gap = [F.coalesce(g, F.lit(-1)) for g in gap]
+        return _struct(
+            prev_value=value[0], prev2_value=value[1], prev3_value=value[2],
+            time_delta=gap[0], time2_delta=gap[1], time3_delta=gap[2],
+        )
+
+    return A.let(hits, fields)
 
 
 # --- jobs over cells -------------------------------------------------------------------------

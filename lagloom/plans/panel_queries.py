@@ -20,18 +20,14 @@ def r6(c: Column) -> Column:
     return F.round(c.cast("double"), 6)
 
 
-def r3(c: Column) -> Column:
-    return F.round(c.cast("double"), 3)
+def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
 
 
 def group(g: int) -> Column:
     return F.get("series", F.lit(g))
 
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 # --- horizontal statistics ----------------------------------------------------------------------
 
 _BASIC = """
@@ -42,10 +38,8 @@ _BASIC = """
 
 @query("panel_basic_stats", f"SELECT id, {_BASIC} FROM dense WHERE grp = 0 GROUP BY id")
 def panel_basic_stats(spark, d):
-    stats = P.basic_stats(group(0))
-    return X.panel(spark, d).select(
-        "id", *[(c if n == "ez" else r6(c)).cast("bigint" if n == "ez" else "double").alias(n) for n, c in stats.items()]
-    )
+    stats = P.spread(X.panel(spark, d), ["id"], P.basic_stats(group(0)))
+    return rounded(stats, ["nz_mean", "nz_max", "nz_min", "mean", "max", "min"])
 
 
 @query(
@@ -85,10 +79,10 @@ def panel_day_stats(spark, d):
        FROM dense GROUP BY id""",
 )
 def panel_full_stats(spark, d):
-    stats = P.full_stats(F.flatten("series"))
-    return X.panel(spark, d).select(
-        "id", *[(r3(c) if n.endswith("var") else r6(c)).alias(n) for n, c in stats.items()]
-    )
+    stats = P.spread(X.panel(spark, d), ["id"], P.full_stats(F.flatten("series")))
+    variances = ["full_var", "full_nzvar"]
+    others = [c for c in stats.columns if c not in ("id", *variances)]
+    return rounded(rounded(stats, variances, 3), others)
 
 
 @query(
@@ -119,13 +113,9 @@ def panel_order_stats(spark, d):
         FROM dense WHERE grp IN ({', '.join(map(str, SIX))}) GROUP BY id, grp""",
 )
 def panel_log_stats(spark, d):
-    rows = F.array(
-        *[
-            F.struct(F.lit(g).alias("grp"), *[r6(c).alias(n) for n, c in P.log_stats(group(g)).items()])
-            for g in SIX
-        ]
-    )
-    return X.panel(spark, d).select("id", F.inline(rows))
+    rows = F.array(*[F.struct(F.lit(g).alias("grp"), P.log_stats(group(g)).alias("s")) for g in SIX])
+    stats = X.panel(spark, d).select("id", F.inline(rows)).select("id", "grp", "s.*")
+    return rounded(stats, ["nz_mean_log", "nz_log_mean", "nz_median_log"])
 
 
 _NUMBER_FLAGS = """
@@ -146,9 +136,7 @@ _NUMBER_STATS = """
 
 
 def _number_query(spark, d, cells: Column) -> DataFrame:
-    return X.text_panel(spark, d).select(
-        "id", *[c.cast("bigint").alias(n) for n, c in P.number_stats(cells).items()]
-    )
+    return P.spread(X.text_panel(spark, d), ["id"], P.number_stats(cells))
 
 
 @query("panel_number_stats", _NUMBER_STATS.format(flags=_NUMBER_FLAGS, group=""))
@@ -198,9 +186,7 @@ def panel_digit_histogram(spark, d):
 )
 def panel_digit_numbers(spark, d):
     hist = X.text_panel(spark, d).select("id", P.digit_histogram(F.flatten("cells")).alias("h"))
-    return hist.select(
-        "id", *[(r3(c) if n == "dig_mean" else c).alias(n) for n, c in P.digit_numbers(F.col("h")).items()]
-    )
+    return rounded(P.spread(hist, ["id"], P.digit_numbers(F.col("h"))), ["dig_mean"], 3)
 
 
 _REPAIR = """
@@ -234,9 +220,8 @@ def panel_repair_values(spark, d):
     + f" FROM ({_REPAIR}) GROUP BY id",
 )
 def panel_repair_histogram(spark, d):
-    repaired = X.text_panel(spark, d).select("id", P.repair_cells(F.flatten("cells")).alias("r"))
-    return repaired.select(
-        "id", *[c.cast("bigint").alias(n) for n, c in P.repair_histogram(F.col("r")).items()]
+    return P.spread(
+        X.text_panel(spark, d), ["id"], P.repair_histogram(P.repair_cells(F.flatten("cells")))
     )
 
 
@@ -272,8 +257,7 @@ _SPECIAL = (1000, 2000, 5000, 10000, 11000, 20000, 30000, 40000, 41000, 45000, 5
     + " FROM text_cells GROUP BY id",
 )
 def panel_special_value_counts(spark, d):
-    counts = P.special_value_counts(F.flatten("cells"), _SPECIAL)
-    return X.text_panel(spark, d).select("id", *[c.cast("bigint").alias(n) for n, c in counts.items()])
+    return P.spread(X.text_panel(spark, d), ["id"], P.special_value_counts(F.flatten("cells"), _SPECIAL))
 
 
 @query(
@@ -293,9 +277,8 @@ def panel_special_value_counts(spark, d):
        FROM s""",
 )
 def panel_string_stats(spark, d):
-    return X.text_panel(spark, d).select(
-        "id", *[r6(c).alias(n) for n, c in P.string_stats(F.flatten("cells")).items()]
-    )
+    stats = P.spread(X.text_panel(spark, d), ["id"], P.string_stats(F.flatten("cells")))
+    return rounded(stats, [c for c in stats.columns if c != "id"])
 
 
 @query(
@@ -327,15 +310,10 @@ def panel_share_of_total(spark, d):
 )
 def panel_first_three_nonzero(spark, d):
     rows = F.array(
-        *[
-            F.struct(
-                F.lit(g).alias("grp"),
-                *[(r6(c) if "value" in n else c).alias(n) for n, c in P.first_three_nonzero(group(g)).items()],
-            )
-            for g in SIX
-        ]
+        *[F.struct(F.lit(g).alias("grp"), P.first_three_nonzero(group(g)).alias("s")) for g in SIX]
     )
-    return X.panel(spark, d).select("id", F.inline(rows))
+    stats = X.panel(spark, d).select("id", F.inline(rows)).select("id", "grp", "s.*")
+    return rounded(stats, ["prev_value", "prev2_value", "prev3_value"])
 
 
 @query(
@@ -605,9 +583,10 @@ _BEST_MATCH = f"""{_FIRST_MATCH},
         FROM keys GROUP BY id, shift""",
 )
 def lag_keys(spark, d):
-    keys = L.lag_keys(X.planted(spark, d), POSITIONS, keep=("id",), texts=True)
+    keys = L.lag_keys(X.planted(spark, d), POSITIONS)
     return keys.groupBy("id", "shift").agg(
-        F.count("suffix_h1").alias("n_suffix"), F.count("prefix_h1").alias("n_prefix"),
+        F.count_if(F.col("suffix_key") != "").alias("n_suffix"),
+        F.count_if(F.col("prefix_key") != "").alias("n_prefix"),
         F.sum("target").alias("targets"),
         F.sum("suffix_nz").alias("suffix_changes"), F.sum("prefix_nz").alias("prefix_changes"),
         F.sum(F.length("suffix_key")).alias("suffix_chars"), F.sum(F.length("prefix_key")).alias("prefix_chars"),
