@@ -134,7 +134,7 @@ def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
 
     The values are range-sorted over partitions and numbered inside each; the sizes of the earlier
     partitions are added from a table with one row per partition. The sorted values are
-    checkpointed, so both uses see the same partition bounds.
+    written out first, so both uses see the same partition bounds.
     """
     at = F.monotonically_increasing_id()
     ordered = cut_lineage(

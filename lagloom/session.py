@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "lagloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,20 +23,30 @@ def build_session(app: str = "lagloom", master: str | None = None, **conf: str)
     return b.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, or the one already set on the context.
 
-    A folder of our own is made only for a local master without that setting.
+    A folder of our own is made only for a local master with neither.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = os.path.join(tempfile.mkdtemp(prefix="lagloom-"), "checkpoints")
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="lagloom-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write to a table of its own in the shared folder and read it back.
+
+    Unlike ``checkpoint()`` this computes the rows once, and readers prune columns.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/lagloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def category_values(df: DataFrame, col: str, limit: int = 2000) -> list:
