@@ -1,6 +1,6 @@
 """Every registered query; importing the modules registers them."""
 
-from lagloom.plans import event_queries, panel_queries, text_queries  # noqa: F401
+from lagloom.plans import event_queries, model_queries, panel_queries, text_queries  # noqa: F401
 from lagloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
