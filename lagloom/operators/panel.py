@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lagloom.functions import arrays as A
 from lagloom.functions import numbers as N
 from lagloom.operators.lookup import lookup
+from lagloom.session import widen
 
 DIGIT_POSITIONS = 7
 
@@ -21,10 +22,8 @@ def assemble_panel(cells: DataFrame, groups: int, positions: int) -> DataFrame:
 
     A row gathers at most ``groups * positions`` cells, whatever the size of the input.
     """
-    # A fixed partition count, which adaptive execution leaves alone: the rows are few bytes but
-    # the work on them is large. Grouping gathers cells anyway, so this is its only shuffle.
-    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = cells.repartition(parts, "id").groupBy("id").agg(
+    # Grouping gathers cells anyway, so this is its only shuffle.
+    packed = widen(cells, "id").groupBy("id").agg(
         F.collect_list(F.struct("grp", "pos", "value")).alias("_cells")
     )
     by_group = F.transform(

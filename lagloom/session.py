@@ -55,3 +55,13 @@ def category_values(df: DataFrame, col: str, limit: int = 2000) -> list:
     if len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} values; keep it in long form")
     return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def widen(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread rows over ``spark.sql.shuffle.partitions`` tasks by ``cols``.
+
+    For rows that are few bytes but much work: adaptive execution merges partitions by size and
+    would leave the work to few tasks; an explicit count stays.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
