@@ -93,26 +93,30 @@ def lag_match_first(
     Result: ``child_id, parent_id, is_train, grp, shift, target, nz``.
     """
     rows = _grouped(panel.where(F.col("is_train") | ~F.col("is_fake")), ["id", "is_train", "row_pos"])
-    on = ["is_train", "grp", "shift", *KEY]
 
     def shift(s: Column) -> _Shift:
         return _Shift(s, positions, target_back, nonzero_min)
 
+    def key(s: Column, values: Column) -> Column:
+        """The part, group, shift and values in one key, so nothing else need be compared."""
+        return F.struct("is_train", "grp", s.alias("s"), values.alias("v"))
+
     def earlier(s: Column) -> Column:
-        h1, h2 = _hashes(shift(s).suffix)
-        return F.struct(
-            s.alias("shift"), h1, h2, shift(s).target.alias("target"), shift(s).suffix_nz.alias("nz")
+        return A.let(
+            key(s, shift(s).suffix),
+            lambda k: F.struct(
+                *_hashes(k), shift(s).target.alias("target"), shift(s).suffix_nz.alias("nz")
+            ),
         )
 
     def later(s: Column) -> Column:
-        h1, h2 = _hashes(shift(s).prefix)
-        return F.struct(s.alias("shift"), h1, h2)
+        return A.let(key(s, shift(s).prefix), lambda k: F.struct(s.alias("shift"), *_hashes(k)))
 
     offered = F.transform(F.filter(_shifts(positions), lambda s: shift(s).suffix_ok), earlier)
     asked = F.transform(F.filter(_shifts(positions), lambda s: shift(s).prefix_ok), later)
     build = (
-        rows.select("id", "is_train", "row_pos", "grp", F.inline(offered))
-        .groupBy(*on)
+        rows.select("id", "row_pos", F.inline(offered))
+        .groupBy(*KEY)
         .agg(
             F.min_by(
                 F.struct(F.col("id").alias("parent_id"), "target", "nz"), F.struct("row_pos", "id")
@@ -120,7 +124,7 @@ def lag_match_first(
         )
     )
     probe = rows.select(F.col("id").alias("child_id"), "is_train", "grp", F.inline(asked))
-    return lookup(probe, build, on, "inner").select(
+    return lookup(probe, build, KEY, "inner").select(
         "child_id", "p.parent_id", "is_train", "grp", "shift", "p.target", "p.nz"
     )
 

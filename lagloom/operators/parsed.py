@@ -86,26 +86,28 @@ def syntactic_onehot(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 def tree_depths(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
     """Steps from each wanted token up to its root: ``doc_id, role, tok, depth, root``.
 
-    Pointer doubling over the wanted tokens' sentences: after k rounds a pointer has moved 2**k
-    steps, so the rounds grow with the logarithm of the depth and no depth is cut off. ``(doc_id,
-    tok)`` is unique, so no join key is hot.
+    Pointer doubling over the wanted tokens' sentences: after k joins a pointer has moved 2**k
+    steps, so their number grows with the logarithm of the depth and no depth is cut off.
+    ``(doc_id, tok)`` is unique, so no join key is hot.
     """
-    near = wanted.select("doc_id", "sent").distinct()
-    jump = (
-        tokens.join(near, ["doc_id", "sent"], "left_semi")
-        .select("doc_id", "tok", F.col("head_tok").alias("up"), (F.col("head_tok") != F.col("tok")).cast("int").alias("depth"))
-    )
-    while True:
+    def doubled(jump: DataFrame) -> DataFrame:
         upper = jump.select("doc_id", F.col("tok").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"))
-        jump = cut_lineage(
-            jump.join(upper, ["doc_id", "up"]).select(
-                "doc_id", "tok", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"),
-                (F.col("_d") > 0).alias("_moved"),
-            )
+        return jump.join(upper, ["doc_id", "up"]).select(
+            "doc_id", "tok", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"),
+            (F.col("_d") > 0).alias("_moved"),
         )
-        if jump.where("_moved").limit(1).count() == 0:
-            break
-        jump = jump.drop("_moved")
+
+    near = wanted.select("doc_id", "sent").distinct()
+    step = (F.col("head_tok") != F.col("tok")).cast("int")
+    jump = cut_lineage(
+        tokens.join(near, ["doc_id", "sent"], "left_semi").select(
+            "doc_id", "tok", F.col("head_tok").alias("up"), step.alias("depth")
+        )
+    )
+    moving = True
+    while moving:
+        jump = cut_lineage(doubled(doubled(jump)))
+        moving = jump.where("_moved").limit(1).count() > 0
     return wanted.select("doc_id", "role", "tok").join(
         jump.select("doc_id", "tok", "depth", F.col("up").alias("root")), ["doc_id", "tok"]
     )
@@ -113,11 +115,10 @@ def tree_depths(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def deptree_features(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """Relative offset, sentence index over sentence count, and depth / 10, for a, b and p."""
-    wanted = span_tokens(tokens, spans).select("doc_id", "role", "tok", "sent", "char_off")
+    wanted = cut_lineage(span_tokens(tokens, spans).select("doc_id", "role", "tok", "sent"))
     depths = tree_depths(tokens, wanted)
     sentences = tokens.groupBy("doc_id").agg((F.max("sent") + 1).alias("_n"))
-    rows = wanted.join(depths.select("doc_id", "role", "depth"), ["doc_id", "role"])
-    picked = rows.groupBy("doc_id").agg(
+    picked = wanted.join(depths.select("doc_id", "role", "depth"), ["doc_id", "role"]).groupBy("doc_id").agg(
         *[
             F.max(F.when(F.col("role") == r, F.col(c))).alias(f"_{r}_{c}")
             for r in ("a", "b", "p")

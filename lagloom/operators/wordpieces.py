@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from lagloom.functions.arrays import let
 from lagloom.functions.text import char_slice, strip_stars
 from lagloom.operators.lookup import lookup
 from lagloom.session import widen
@@ -102,8 +103,8 @@ def part_pieces(parts: DataFrame, vocab: DataFrame) -> DataFrame:
 
     first = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
     walked = F.aggregate(F.sequence(F.lit(1), F.length("part")), first, step)
-    covered = by_part.select("part", walked.alias("_w")).where(F.col("_w.pos") >= F.length("part"))
-    found = covered.select("part", F.col("_w.out").alias("pieces"))
+    covered = let(walked, lambda w: F.when(w["pos"] >= F.length("part"), w["out"]))
+    found = by_part.select("part", covered.alias("pieces"))
     return parts.join(found, "part", "left").select(
         "part", F.coalesce("pieces", F.array(F.lit(UNKNOWN))).alias("pieces")
     )
