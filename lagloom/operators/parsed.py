@@ -3,9 +3,10 @@
 ``tokens(doc_id, tok, char_off, text, dep, head_tok, sent)``, ``entities(doc_id, ent_text, label)``,
 ``mentions(doc_id, m, text, cluster_id, head_score)``, ``antecedents(doc_id, m, ant, score)``.
 
-A document may hold any share of the token rows. Joins put the few span rows of a document against
-its tokens and reduce at once, so nothing of a document is gathered into one value, and adaptive
-execution may split the token side of a large document.
+A document may hold any share of the token rows, so no join has the document alone as its key.
+Tokens meet the spans per run of ``RUN`` tokens: a span row is repeated once per run its document
+can have, a run is at most ``RUN`` tokens, and partial aggregates bring the runs together. Other
+joins use a token index or a text inside the document, reduced to one row per key beforehand.
 """
 
 from __future__ import annotations
@@ -27,6 +28,20 @@ NAME_DEPS = (
 PRONOUN_DEPS = ("dobj", "poss", "nsubj", "pobj", "attr", "nsubjpass", "dative")
 
 
+RUN = 4096
+
+
+def _against_spans(tokens: DataFrame, spans: DataFrame, index: str, columns: list[str | Column]) -> DataFrame:
+    """Each token beside ``columns`` of its document's span row.
+
+    A document cannot have more tokens than characters plus one, which bounds its runs.
+    """
+    runs = F.sequence(F.lit(0), F.floor(F.length("text") / RUN).cast("int"))
+    wide = spans.select("doc_id", *columns, F.explode(runs).alias("_run"))
+    cut = tokens.withColumn("_run", F.floor(F.col(index) / RUN).cast("int"))
+    return cut.join(wide, ["doc_id", "_run"]).drop("_run")
+
+
 def _per_doc(spans: DataFrame, features: DataFrame, fills: dict) -> DataFrame:
     """Left join of per-document features, with their values where a document has none."""
     return spans.select("doc_id").join(features, "doc_id", "left").na.fill(fills)
@@ -44,12 +59,16 @@ def possessive_count(tokens: DataFrame, placeholders: dict[str, str]) -> DataFra
 
 def nearest_preceding(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """As-of lookup: the token with the greatest offset not after each span's offset."""
-    joined = tokens.select("doc_id", "tok", "char_off").join(span_rows(spans), "doc_id")
-    return (
-        joined.where(F.col("char_off") <= F.col("off"))
-        .groupBy("doc_id", "role")
-        .agg(F.max_by(F.struct("tok", "char_off"), "char_off").alias("t"))
-        .select("doc_id", "role", "t.tok", "t.char_off")
+    roles = ("a", "b", "p")
+    joined = _against_spans(tokens.select("doc_id", "tok", "char_off"), spans, "tok", [f"{r}_off" for r in roles])
+
+    def last(r: str) -> Column:
+        return F.max(F.when(F.col("char_off") <= F.col(f"{r}_off"), F.struct("char_off", "tok"))).alias(r)
+
+    wide = joined.groupBy("doc_id").agg(*[last(r) for r in roles])
+    rows = F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("t")) for r in roles])
+    return wide.select("doc_id", F.inline(rows)).where("t is not null").select(
+        "doc_id", "role", "t.tok", "t.char_off"
     )
 
 
@@ -60,25 +79,35 @@ def span_tokens(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def syntactic_onehot(tokens: DataFrame, spans: DataFrame) -> DataFrame:
-    """29 flags: the dependency label of each span's token; names skip compounds and punctuation."""
-    starts = span_tokens(tokens, spans).select("doc_id", "role", F.col("tok").alias("start"))
-    useful = (F.col("role") == "p") & (F.col("tok") == F.col("start")) | (
-        (F.col("role") != "p") & (F.col("tok") >= F.col("start")) & ~F.col("dep").isin(*SKIPPED_DEPS)
-    )
-    labels = (
-        tokens.select("doc_id", "tok", "dep")
-        .join(starts, "doc_id")
-        .where(useful)
-        .groupBy("doc_id")
-        .agg(
-            *[
-                F.min_by("dep", F.when(F.col("role") == r, F.col("tok"))).alias(r) for r in ("a", "b", "p")
-            ]
-        )
+    """29 flags: the dependency label of each span's token; names skip compounds and punctuation.
+
+    Position and label travel as one number, so the search is an integer minimum.
+    """
+    labels = sorted(set(NAME_DEPS + PRONOUN_DEPS))
+    number = F.lit(0)
+    for k, x in enumerate(labels):
+        number = F.when(F.col("dep") == x, k + 1).otherwise(number)
+    roles = ("a", "b", "p")
+    slim = tokens.select("doc_id", "tok", "char_off", "dep")
+    starts = _against_spans(slim, spans, "tok", [f"{r}_off" for r in roles]).groupBy("doc_id").agg(
+        *[F.max(F.when(F.col("char_off") == F.col(f"{r}_off"), F.col("tok"))).alias(f"{r}_tok") for r in roles]
+    )
+    begun = spans.select("doc_id", "text").join(starts, "doc_id")
+    packed = F.col("tok").cast("long") * 64 + number
+    useful = ~F.col("dep").isin(*SKIPPED_DEPS)
+
+    def first(r: str) -> Column:
+        at = F.col(f"{r}_tok")
+        hit = (F.col("tok") == at) if r == "p" else (F.col("tok") >= at) & useful
+        return (F.min(F.when(hit, packed)) % 64).alias(r)
+
+    found = _against_spans(slim.drop("char_off"), begun, "tok", [f"{r}_tok" for r in roles]).groupBy("doc_id").agg(
+        *[first(r) for r in roles]
     )
     flags = [(r, x) for r in ("a", "b") for x in NAME_DEPS] + [("p", x) for x in PRONOUN_DEPS]
-    table = labels.select(
-        "doc_id", *[F.coalesce((F.col(r) == x).cast("int"), F.lit(0)).alias(f"{r}_{x}") for r, x in flags]
+    table = found.select(
+        "doc_id",
+        *[F.coalesce((F.col(r) == labels.index(x) + 1).cast("int"), F.lit(0)).alias(f"{r}_{x}") for r, x in flags],
     )
     return _per_doc(spans, table, {f"{r}_{x}": 0 for r, x in flags})
 
@@ -139,11 +168,12 @@ def deptree_features(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 
 def other_person_entities(entities: DataFrame, spans: DataFrame) -> DataFrame:
     """PERSON entities whose text is neither name."""
-    counts = (
-        entities.where(F.col("label") == "PERSON")
-        .join(spans.select("doc_id", "a", "b"), "doc_id")
-        .groupBy("doc_id")
-        .agg(F.count_if((F.col("ent_text") != F.col("a")) & (F.col("ent_text") != F.col("b"))).alias("named_ent"))
+    texts = entities.where(F.col("label") == "PERSON").groupBy("doc_id", "ent_text").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    names = spans.select("doc_id", F.explode(F.array_distinct(F.array("a", "b"))).alias("ent_text"))
+    counts = texts.join(names, ["doc_id", "ent_text"], "left_anti").groupBy("doc_id").agg(
+        F.sum("n").alias("named_ent")
     )
     return _per_doc(spans, counts, {"named_ent": 0})
 
@@ -172,28 +202,19 @@ def pronoun_cluster_heads(mentions: DataFrame, tokens_at: DataFrame) -> DataFram
     cluster = mentions.join(tokens_at, ["doc_id", "tok"]).groupBy("doc_id").agg(
         F.min_by("cluster_id", "m").alias("cluster_id")
     )
-    return (
-        mentions.join(cluster, ["doc_id", "cluster_id"])
-        .groupBy("doc_id")
-        .agg(F.min_by("text", "m").alias("coref"))
-    )
+    heads = mentions.groupBy("doc_id", "cluster_id").agg(F.min_by("text", "m").alias("coref"))
+    return heads.join(cluster, ["doc_id", "cluster_id"]).select("doc_id", "coref")
 
 
 def cluster_membership(mentions: DataFrame, spans: DataFrame) -> DataFrame:
     """1 where some cluster holds both the pronoun and the name.
 
-    Flags are combined per cluster on the map side; no pair of mentions is formed.
+    Texts are made distinct per cluster on the map side; no pair of mentions is formed.
     """
-    text = F.col("text")
-    clusters = (
-        mentions.select("doc_id", "cluster_id", "text")
-        .join(spans.select("doc_id", "a", "b", "pronoun"), "doc_id")
-        .groupBy("doc_id", "cluster_id")
-        .agg(
-            F.bool_or(text == F.col("pronoun")).alias("p"),
-            F.bool_or(text == F.col("a")).alias("a"),
-            F.bool_or(text == F.col("b")).alias("b"),
-        )
+    present = mentions.select("doc_id", "text", "cluster_id").distinct()
+    roles = span_rows(spans).select("doc_id", "role", F.col("name").alias("text"))
+    clusters = present.join(roles, ["doc_id", "text"]).groupBy("doc_id", "cluster_id").agg(
+        *[F.bool_or(F.col("role") == r).alias(r) for r in ("a", "b", "p")]
     )
     hits = clusters.groupBy("doc_id").agg(
         F.max((F.col("p") & F.col("a")).cast("int")).alias("in_cluster_a"),
@@ -216,8 +237,8 @@ def cluster_membership_by_parts(mentions: DataFrame, spans: DataFrame) -> DataFr
         "doc_id",
         F.explode(F.array_distinct(F.concat(F.array("a", "b", "pronoun"), "_pa", "_pb"))).alias("text"),
     )
-    # Distinct on the map side, so a document's clusters are small sets of span texts.
-    present = mentions.select("doc_id", "text", "cluster_id").join(keys, ["doc_id", "text"]).distinct()
+    # Distinct before the join, so a repeated text is no hot key; the sets hold only span texts.
+    present = mentions.select("doc_id", "text", "cluster_id").distinct().join(keys, ["doc_id", "text"])
     clusters = present.groupBy("doc_id", "cluster_id").agg(F.collect_set("text").alias("_texts"))
     joined = clusters.join(wanted, "doc_id").where(F.array_contains("_texts", F.col("pronoun")))
 

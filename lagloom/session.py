@@ -65,3 +65,12 @@ def widen(df: DataFrame, *cols: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Round-robin the rows of a scan that has fewer partitions than there are cores.
+
+    A large input has partitions enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
