@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagloom.operators.metrics import class_rate
+
 
 def _draw(*parts: Column) -> Column:
     """A number below 2**32 that depends on the parts alone, so reruns and partitions agree."""
@@ -46,14 +48,10 @@ def blend_weighted(members: DataFrame, weights: DataFrame, cols: list[str]) -> D
 
 def align_to_prior(predictions: DataFrame, cols: list[str], rates: list[float]) -> DataFrame:
     """Scale each class column so its share of the total becomes the given rate."""
-    sums = predictions.agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    total = sum((F.col(f"_s_{c}") for c in cols[1:]), F.col(f"_s_{cols[0]}"))
-    scaled = {
-        c: F.col(c) * F.try_divide(F.lit(rate), F.try_divide(F.col(f"_s_{c}"), total))
-        for c, rate in zip(cols, rates, strict=True)
-    }
-    # The sums are one row.
-    return predictions.join(F.broadcast(sums)).withColumns(scaled).drop(*[f"_s_{c}" for c in cols])
+    share = class_rate(predictions, cols).select(F.struct(*cols)).scalar()
+    return predictions.withColumns(
+        {c: F.col(c) * F.try_divide(F.lit(rate), share[c]) for c, rate in zip(cols, rates, strict=True)}
+    )
 
 
 def mean_predictions(long: DataFrame, cols: list[str], digits: int | None = 4) -> DataFrame:

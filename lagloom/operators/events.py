@@ -20,7 +20,7 @@ def count_over_union(parts: list[DataFrame], col: str, out: str) -> DataFrame:
     for part in parts[1:]:
         rows = rows.unionByName(part)
     counts = rows.groupBy(col).agg(F.count(F.lit(1)).alias(out))
-    return lookup(rows, counts, col)
+    return lookup(rows, counts, col, measure=True)
 
 
 def child_count(entities: DataFrame, children: DataFrame, out: str, on: str = "id") -> DataFrame:
@@ -145,7 +145,7 @@ def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # One row per partition of the sort: bounded by the shuffle partition count.
+    # One row per partition of the sort, so bounded by spark.sql.shuffle.partitions.
     return ordered.join(F.broadcast(offsets), "_part").select(
         col, (F.col("_k") + F.col("_before")).alias(out)
     )
@@ -156,7 +156,7 @@ def label_encode(parts: list[DataFrame], col: str, out: str) -> DataFrame:
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return lookup(rows, dense_codes(rows, col, out), col)
+    return lookup(rows, dense_codes(rows, col, out), col, measure=True)
 
 
 def join_feature_tables(base: DataFrame, tables: list[DataFrame], on: str = "id") -> DataFrame:

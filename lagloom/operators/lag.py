@@ -90,6 +90,7 @@ def lag_match_first(
 
     Train rows match train rows and other rows match other rows; fake rows outside the train part
     take no part. Blank keys are dropped inside the row, before anything is hashed or shuffled.
+    ``row_pos`` is unique. The build side keeps numbers only, so it is a hash aggregate.
     Result: ``child_id, parent_id, is_train, grp, shift, target, nz``.
     """
     rows = _grouped(panel.where(F.col("is_train") | ~F.col("is_fake")), ["id", "is_train", "row_pos"])
@@ -118,14 +119,14 @@ def lag_match_first(
         rows.select("id", "row_pos", F.inline(offered))
         .groupBy(*KEY)
         .agg(
-            F.min_by(
-                F.struct(F.col("id").alias("parent_id"), "target", "nz"), F.struct("row_pos", "id")
-            ).alias("p")
+            F.min_by("id", "row_pos").alias("parent_id"),
+            F.min_by("target", "row_pos").alias("target"),
+            F.min_by("nz", "row_pos").alias("nz"),
         )
     )
     probe = rows.select(F.col("id").alias("child_id"), "is_train", "grp", F.inline(asked))
     return lookup(probe, build, KEY, "inner").select(
-        "child_id", "p.parent_id", "is_train", "grp", "shift", "p.target", "p.nz"
+        "child_id", "parent_id", "is_train", "grp", "shift", "target", "nz"
     )
 
 

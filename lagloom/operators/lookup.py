@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagloom.session import cut_lineage
 
-def lookup(probe: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left") -> DataFrame:
-    """Join ``probe`` to an aggregated ``dim`` holding one row per key.
 
-    An aggregate is already partitioned by its key, and adaptive execution cannot split a hot
-    probe key over a side that has no exchange of its own. Joining on a hash next to the keys
-    gives both sides an exchange, so a key holding a third of the probe is split over tasks,
-    and a dim that turns out small at run time is broadcast instead.
+def lookup(
+    probe: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left", measure: bool = False
+) -> DataFrame:
+    """Join ``probe`` to a ``dim`` holding one row per key, whatever the share of one probe key.
+
+    ``measure``, for a dim likely to be small, writes it out first. The planner then knows its
+    real size: below ``spark.sql.autoBroadcastJoinThreshold`` the probe is not shuffled at all,
+    above it both sides are, and adaptive execution splits a hot key of the probe.
+
+    Without it the dim stays part of the plan. An aggregate is already partitioned by its key,
+    and a hot probe key cannot be split over a side that has no exchange of its own; joining on a
+    hash next to the keys gives both sides one.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if measure:
+        return probe.join(cut_lineage(dim), keys, how)
     mark = F.xxhash64(*keys)
     return (
         probe.withColumn("_hash", mark)

@@ -70,10 +70,11 @@ def class_rate(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def normalise_by_max(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Divide each column by its maximum; 0 where the maximum is 0. The maxima are one row."""
-    top = df.agg(*[F.max(c).alias(f"_max_{c}") for c in cols])
-    scaled = {c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.col(f"_max_{c}").cast("double")), F.lit(0.0)) for c in cols}
-    return df.join(F.broadcast(top)).withColumns(scaled).drop(*[f"_max_{c}" for c in cols])
+    """Divide each column by its maximum; 0 where the maximum is 0. The maxima are a scalar."""
+    top = df.agg(F.struct(*[F.max(c).cast("double").alias(c) for c in cols])).scalar()
+    return df.withColumns(
+        {c: F.coalesce(F.try_divide(F.col(c).cast("double"), top[c]), F.lit(0.0)) for c in cols}
+    )
 
 
 # --- grouped evaluation -------------------------------------------------------------------------
@@ -123,11 +124,7 @@ def scorecard(tallies: DataFrame) -> DataFrame:
             F.try_divide(F.col("precision") * F.col("recall") * 2, F.col("precision") + F.col("recall")), F.lit(0.0)
         ),
     )
-    both = scored.agg(
-        F.max(F.when(F.col("grp") == "F", F.col("f1"))).alias("_f"),
-        F.max(F.when(F.col("grp") == "M", F.col("f1"))).alias("_m"),
-    )
-    ratio = F.when(
-        (F.col("_f") > 0) & (F.col("_m") > 0), F.format_string("%.2f", F.col("_f") / F.col("_m"))
-    ).otherwise("-")
-    return scored.join(F.broadcast(both.select(ratio.alias("bias"))))
+    women = F.max(F.when(F.col("grp") == "F", F.col("f1")))
+    men = F.max(F.when(F.col("grp") == "M", F.col("f1")))
+    ratio = F.when((women > 0) & (men > 0), F.format_string("%.2f", women / men)).otherwise("-")
+    return scored.withColumn("bias", scored.agg(ratio).scalar())

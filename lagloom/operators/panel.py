@@ -314,7 +314,7 @@ def value_target_mean(panel: DataFrame, min_support: int = 10, out_of_fold: bool
         .where(F.col("n") >= min_support)
     )
     own = F.when(F.col("target") > 0, 1).otherwise(0) if out_of_fold else F.lit(0)
-    scored = lookup(cells, table, "value").select(
+    scored = lookup(cells, table, "value", measure=True).select(
         "id",
         (F.col("s") - F.col("target") * own).alias("s"),
         (F.col("n") - own).alias("n"),
@@ -346,12 +346,13 @@ def select_columns_by_data(
 def stats_over_selected(panel: DataFrame, columns: DataFrame) -> DataFrame:
     """``basic_stats`` over the selected columns only, one row per id.
 
-    The column list is a table; its cells are combined per row with partial aggregates.
+    The column list has at most one row per column of the panel, so it is sent to every task and
+    the cells stay where they are until they are combined per row.
     """
     v, nz = F.col("value"), F.col("value") != 0
     return (
         unpivot_panel(panel, ["id"])
-        .join(columns.select("grp", "pos"), ["grp", "pos"])
+        .join(F.broadcast(columns.select("grp", "pos")), ["grp", "pos"])
         .groupBy("id")
         .agg(
             F.avg(F.when(nz, v)).alias("nz_mean"), F.max(F.when(nz, v)).alias("nz_max"),
@@ -364,9 +365,12 @@ def stats_over_selected(panel: DataFrame, columns: DataFrame) -> DataFrame:
 def select_features_by_weight(
     features: DataFrame, weights: DataFrame, threshold: float = 0.0007
 ) -> DataFrame:
-    """Long features ``(id, feature, value)`` without those weighing less than the threshold."""
+    """Long features ``(id, feature, value)`` without those weighing less than the threshold.
+
+    The weights have one row per feature name, which bounds what is sent to every task.
+    """
     low = weights.where(F.col("weight") < threshold).select("feature")
-    return features.join(low, "feature", "left_anti")
+    return features.join(F.broadcast(low), "feature", "left_anti")
 
 
 def ordered_columns(columns: DataFrame, grouped: DataFrame) -> DataFrame:

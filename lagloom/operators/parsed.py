@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagloom.functions.arrays import let
+from lagloom.operators.lookup import lookup
 from lagloom.operators.spans import span_rows
 from lagloom.session import cut_lineage
 
@@ -371,13 +372,17 @@ def url_choice(a_in_url: Column, b_in_url: Column) -> Column:
 # --- starred text -----------------------------------------------------------------------------
 
 def starred_terms(texts: DataFrame) -> DataFrame:
-    """Distinct runs of letters and stars worth looking up: four characters or more, at least
-    two of them letters."""
-    runs = texts.select(
-        F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z*]*\*[A-Za-z*]*"), F.lit(0))).alias("star")
-    )
+    """Distinct runs of letters and stars worth looking up."""
+    return _starred_runs(texts).select("star").distinct()
+
+
+def _starred_runs(texts: DataFrame) -> DataFrame:
+    """``doc_id, star``, once per document: four characters or more, at least two of them letters."""
+    runs = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Za-z*]*\*[A-Za-z*]*"), F.lit(0)))
     stars = F.length("star") - F.length(F.replace("star", F.lit("*"), F.lit("")))
-    return runs.where((F.length("star") >= 4) & (stars < F.length("star") - 1)).distinct()
+    return texts.select("doc_id", F.explode(runs).alias("star")).where(
+        (F.length("star") >= 4) & (stars < F.length("star") - 1)
+    )
 
 
 def join_wildcard(stars: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -423,16 +428,12 @@ def join_wildcard(stars: DataFrame, vocab: DataFrame) -> DataFrame:
 def normalise_starred_text(texts: DataFrame, vocab: DataFrame) -> DataFrame:
     """Rewrite every starred run that matches a vocabulary term. ``texts``: ``doc_id, text``.
 
-    Terms are looked up once per distinct run; a document gets only its own replacements back.
+    The runs are written out once, looked up once per distinct run, and a document gets only its
+    own replacements back.
     """
-    found = join_wildcard(starred_terms(texts), vocab)
-    used = texts.select(
-        "doc_id",
-        F.explode(
-            F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Za-z*]*\*[A-Za-z*]*"), F.lit(0)))
-        ).alias("star"),
-    )
-    swaps = used.join(found, "star").groupBy("doc_id").agg(
+    used = cut_lineage(_starred_runs(texts))
+    found = join_wildcard(used.select("star").distinct(), vocab)
+    swaps = lookup(used, found, "star", "inner", measure=True).groupBy("doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("star", "term"))).alias("_swap")
     )
     pieces = F.regexp_extract_all("text", F.lit(r"(?s)[A-Za-z*]+|[^A-Za-z*]+"), F.lit(0))

@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, StringType
 from lagloom.functions.arrays import let
 from lagloom.functions.text import char_slice, strip_stars
 from lagloom.operators.lookup import lookup
-from lagloom.session import widen
+from lagloom.session import cut_lineage, widen
 
 # Marker pieces, and the longest word that is split.
 UNKNOWN, CLS, SEP, MASK = "[UNK]", "[CLS]", "[SEP]", "[MASK]"
@@ -80,15 +80,15 @@ def part_pieces(parts: DataFrame, vocab: DataFrame) -> DataFrame:
     per start is kept, and a part walks its own at most 200 starts. A part that cannot be covered,
     or is longer, is unknown.
     """
-    longest = vocab.agg(F.max(F.length(F.regexp_replace("term", "^##", ""))).alias("_max"))
+    longest = vocab.agg(F.max(F.length(F.regexp_replace("term", "^##", "")))).scalar()
     short = parts.where(F.length("part") <= MAX_WORD)
     starts = F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("start")
     stretches = (
-        short.where("part <> ''").join(F.broadcast(longest))  # one row
-        .select("part", "_max", starts)
+        short.where("part <> ''")
+        .select("part", starts)
         .select(
             "part", "start",
-            F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("start"), F.col("_max")))).alias("n"),
+            F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("start"), longest))).alias("n"),
         )
         .select(
             "part", "start", "n",
@@ -116,8 +116,11 @@ def part_pieces(parts: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def word_dictionary(words: DataFrame, vocab: DataFrame, lower: bool = True) -> DataFrame:
-    """``word`` (distinct) -> ``word, pieces``."""
-    split = word_parts(words, lower).select("word", F.posexplode("parts").alias("i", "part"))
+    """``word`` (distinct) -> ``word, pieces``.
+
+    The split words are needed twice and written out once.
+    """
+    split = cut_lineage(word_parts(words, lower).select("word", F.posexplode("parts").alias("i", "part")))
     pieces = part_pieces(widen(split.select("part").distinct(), "part"), vocab)
     return lookup(split, pieces, "part").groupBy("word").agg(
         F.flatten(
@@ -127,9 +130,14 @@ def word_dictionary(words: DataFrame, vocab: DataFrame, lower: bool = True) -> D
 
 
 def token_dictionary(texts: DataFrame, vocab: DataFrame, lower: bool = True) -> DataFrame:
-    """``piece, n``: how often each piece occurs in the corpus."""
-    counts = texts.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n")
+    """``piece, n``: how often each piece occurs in the corpus.
+
+    The corpus is read once: its word counts are written out before they are used twice.
+    """
+    counts = cut_lineage(
+        texts.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(
+            F.count(F.lit(1)).alias("n")
+        )
     )
     pieces = word_dictionary(counts.select("word"), vocab, lower)
     return counts.join(pieces, "word").select(F.explode("pieces").alias("piece"), "n").groupBy("piece").agg(
@@ -145,7 +153,8 @@ def token_window(
     The names A and B become a mask piece. The window is centred on the span, kept inside the
     text, and moved left off continuation pieces as long as the span stays inside. It never
     reaches further than ``length`` pieces to a side, so of all the words only the nearest
-    ``length`` on either side are split into pieces.
+    ``length`` on either side are split into pieces; these are written out, so the texts are read
+    once.
     """
     size = length - 2
     text, off = F.col("text"), F.col("off")
@@ -165,10 +174,12 @@ def token_window(
     cut = spans.select("doc_id", "text", F.inline(rows)).select(
         "doc_id", "role", "masked", before.alias("_b"), inside.alias("_t"), after.alias("_a")
     )
-    near = cut.select(
-        "doc_id", "role", "masked",
-        F.slice("_b", F.greatest(F.size("_b") - size, F.lit(1)), size + 1).alias("_b"),
-        "_t", F.slice("_a", 1, size + 1).alias("_a"),
+    near = cut_lineage(
+        cut.select(
+            "doc_id", "role", "masked",
+            F.slice("_b", F.greatest(F.size("_b") - size, F.lit(1)), size + 1).alias("_b"),
+            "_t", F.slice("_a", 1, size + 1).alias("_a"),
+        )
     )
 
     def numbered(k: int, c: str) -> Column:

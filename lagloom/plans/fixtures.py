@@ -117,7 +117,7 @@ def _cell_text(i: Column, g: Column, p: Column, v: Column) -> Column:
 def text_panel(spark: SparkSession, d: str) -> DataFrame:
     """``id, cells`` with an 8 x 40 array of cell texts."""
     return panel(spark, d).select(
-        "id", "is_train", "is_fake",
+        "id", "is_train", "is_fake", "series",
         F.transform(
             "series",
             lambda row, g: F.transform(row, lambda v, p: _cell_text(F.col("id"), g, p, v)),

@@ -9,6 +9,7 @@ from lagloom.functions import arrays as A
 from lagloom.functions import numbers as N
 from lagloom.operators import lag as L
 from lagloom.operators import panel as P
+from lagloom.operators.lookup import lookup
 from lagloom.plans import fixtures as X
 from lagloom.plans.registry import query
 
@@ -428,9 +429,8 @@ def repair_value(spark, d):
         HAVING NOT (bool_or(length(split_part(txt, '.', 2)) > 2) AND NOT {_INT})""",
 )
 def drop_fake_rows(spark, d):
-    kept = X.text_panel(spark, d).where(~N.is_fake_row(F.flatten("cells"))).select("id")
-    totals = X.panel(spark, d).select("id", A.total(F.flatten("series")).cast("bigint").alias("total"))
-    return totals.join(kept, "id")
+    kept = X.text_panel(spark, d).where(~N.is_fake_row(F.flatten("cells")))
+    return kept.select("id", A.total(F.flatten("series")).cast("bigint").alias("total"))
 
 
 # --- jobs over cells ------------------------------------------------------------------------------
@@ -466,9 +466,7 @@ def join_value_dictionary(spark, d):
         .select(F.explode(A.nonzero(F.flatten("series"))).alias("value"))
         .groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n >= 10")
     )
-    from lagloom.operators.lookup import lookup
-
-    return lookup(cells, table, "value").groupBy("id").agg(
+    return lookup(cells, table, "value", measure=True).groupBy("id").agg(
         F.count("n").alias("hits"), F.coalesce(F.sum("n"), F.lit(0)).alias("support")
     )
 
@@ -703,9 +701,6 @@ def lag_offset_sweep(spark, d):
     return L.lag_offset_sweep(matches, planted.select("id", "target"))
 
 
-_UNIQUE_LEFT = "SELECT value, any_value(id) AS id FROM cells WHERE grp = 0 GROUP BY value HAVING count(*) = 1"
-
-
 @query(
     "join_unique_keys",
     """SELECT l.first AS key, l.id AS left_id, r.id AS right_id
