@@ -22,39 +22,47 @@ def _hashes(value: Column) -> tuple[Column, Column]:
     return F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(7), value).alias("h2")
 
 
-def _running_total(flags: Column) -> Column:
-    """``[0, f0, f0+f1, ...]``."""
+def _reach(weights: Column, need: int) -> Column:
+    """Length of the shortest prefix whose weights sum to at least ``need``; NULL if none does."""
+    first = F.struct(F.lit(0).alias("t"), F.lit(0).alias("m"))
     return F.aggregate(
-        flags,
-        F.array(F.lit(0)),
-        lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)),
+        weights,
+        first,
+        lambda s, w: F.when(s["t"] >= need, s).otherwise(
+            F.struct((s["t"] + w).alias("t"), (s["m"] + 1).alias("m"))
+        ),
+        lambda s: F.when(s["t"] >= need, s["m"]),
     )
 
 
 # --- first match per group and shift --------------------------------------------------------
 
 def _grouped(panel: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per group: its values ``v``, the target group ``_first`` and running change counts."""
+    """One row per group: its values ``v``, the target group ``_first`` and, in order, the
+    positions ``_at`` where a value is positive and differs from the one before."""
+    changes = F.filter(
+        F.transform("v", lambda x, i: F.when((x > 0) & (x != F.coalesce(F.get("v", i - 1), F.lit(-1).cast("long"))), i)),
+        lambda i: i.isNotNull(),
+    )
     return panel.select(
         *keep, F.get("series", F.lit(0)).alias("_first"), F.posexplode("series").alias("grp", "v")
-    ).withColumn("_sum", _running_total(A.change_flags(F.col("v"))))
+    ).withColumn("_at", changes)
 
 
-class _Shift:
-    """The parts of one shift's keys, as expressions on a ``_grouped`` row."""
+def _suffix(s: Column, positions: int) -> tuple[Column, Column]:
+    """The values from position ``s`` on, and their change count."""
+    return F.slice("v", s + 1, F.lit(positions) - s), F.size(F.filter("_at", lambda p: p >= s))
 
-    def __init__(self, s: Column, positions: int, target_back: int, nonzero_min: int):
-        n = F.lit(positions)
-        self.suffix, self.prefix = F.slice("v", s + 1, n - s), F.slice("v", F.lit(1), n - s)
-        self.suffix_nz = F.get("_sum", n) - F.get("_sum", s)
-        self.prefix_nz = F.get("_sum", n - s)
-        self.target = F.get("_first", s - target_back)
-        self.suffix_ok = (self.suffix_nz >= nonzero_min) & (self.target > 0)
-        self.prefix_ok = self.prefix_nz >= nonzero_min
 
+def _prefix(s: Column, positions: int) -> tuple[Column, Column]:
+    """The values without the last ``s``, and their change count."""
+    end = F.lit(positions) - s
+    return F.slice("v", F.lit(1), end), F.size(F.filter("_at", lambda p: p < end))
 
-def _shifts(positions: int) -> Column:
-    return F.sequence(F.lit(2), F.lit(positions - 3))
+
+def _shifts(last: Column) -> Column:
+    """2..last; empty below 2 or for a NULL."""
+    return F.when(last >= 2, F.sequence(F.lit(2), last)).otherwise(F.array().cast("array<int>"))
 
 
 def lag_keys(
@@ -70,17 +78,18 @@ def lag_keys(
         return F.when(ok, F.array_join(F.transform(a, lambda x: x.cast("string")), "_")).otherwise("")
 
     def one(s: Column) -> Column:
-        k = _Shift(s, positions, target_back, nonzero_min)
+        (suffix, suffix_nz), (prefix, prefix_nz) = _suffix(s, positions), _prefix(s, positions)
+        target = F.get("_first", s - target_back)
+        suffix_ok, prefix_ok = (suffix_nz >= nonzero_min) & (target > 0), prefix_nz >= nonzero_min
         return F.struct(
             s.alias("shift"),
-            F.when(k.suffix_ok, k.target).otherwise(F.lit(-1).cast("long")).alias("target"),
-            k.suffix_nz.alias("suffix_nz"), k.prefix_nz.alias("prefix_nz"),
-            joined(k.suffix_ok, k.suffix).alias("suffix_key"),
-            joined(k.prefix_ok, k.prefix).alias("prefix_key"),
+            F.when(suffix_ok, target).otherwise(F.lit(-1).cast("long")).alias("target"),
+            suffix_nz.alias("suffix_nz"), prefix_nz.alias("prefix_nz"),
+            joined(suffix_ok, suffix).alias("suffix_key"), joined(prefix_ok, prefix).alias("prefix_key"),
         )
 
     rows = _grouped(panel, list(keep))
-    return rows.select(*keep, "grp", F.inline(F.transform(_shifts(positions), one)))
+    return rows.select(*keep, "grp", F.inline(F.transform(_shifts(F.lit(positions - 3)), one)))
 
 
 def lag_match_first(
@@ -95,26 +104,29 @@ def lag_match_first(
     """
     rows = _grouped(panel.where(F.col("is_train") | ~F.col("is_fake")), ["id", "is_train", "row_pos"])
 
-    def shift(s: Column) -> _Shift:
-        return _Shift(s, positions, target_back, nonzero_min)
+    def target(s: Column) -> Column:
+        return F.get("_first", s - target_back)
 
     def key(s: Column, values: Column) -> Column:
         """The part, group, shift and values in one key, so nothing else need be compared."""
         return F.struct("is_train", "grp", s.alias("s"), values.alias("v"))
 
     def earlier(s: Column) -> Column:
+        values, nz = _suffix(s, positions)
         return A.let(
-            key(s, shift(s).suffix),
-            lambda k: F.struct(
-                *_hashes(k), shift(s).target.alias("target"), shift(s).suffix_nz.alias("nz")
-            ),
+            key(s, values), lambda k: F.struct(*_hashes(k), target(s).alias("target"), nz.alias("nz"))
         )
 
     def later(s: Column) -> Column:
-        return A.let(key(s, shift(s).prefix), lambda k: F.struct(s.alias("shift"), *_hashes(k)))
-
-    offered = F.transform(F.filter(_shifts(positions), lambda s: shift(s).suffix_ok), earlier)
-    asked = F.transform(F.filter(_shifts(positions), lambda s: shift(s).prefix_ok), later)
+        return A.let(key(s, _prefix(s, positions)[0]), lambda k: F.struct(s.alias("shift"), *_hashes(k)))
+
+    # A suffix has enough changes when the last but (nonzero_min - 1) of them is not before s; a
+    # prefix when the first but (nonzero_min - 1) of them is before positions - s.
+    top, enough = F.lit(positions - 3), F.size("_at") >= nonzero_min
+    last_kept = F.when(enough, F.least(top, F.get("_at", F.size("_at") - nonzero_min)))
+    last_asked = F.when(enough, F.least(top, F.lit(positions - 1) - F.get("_at", F.lit(nonzero_min - 1))))
+    offered = F.transform(F.filter(_shifts(last_kept), lambda s: target(s) > 0), earlier)
+    asked = F.transform(_shifts(last_asked), later)
     build = (
         rows.select("id", "row_pos", F.inline(offered))
         .groupBy(*KEY)
@@ -189,13 +201,15 @@ def lag_match_tuple(
         ),
     )
     rows = panel.select(
-        "id", part, "series", first.alias("_first"),
-        _running_total(weighted).alias("_nz_all"),
-        _running_total(F.transform(first, lambda v: (v > 0).cast("int") * 2)).alias("_nz_first"),
+        "id", part, "series", first.alias("_first"), weighted.alias("_all"),
+        F.transform(first, lambda v: (v > 0).cast("int") * 2).alias("_own"),
+    ).select(
+        "id", part, "series", "_first",
+        _reach("_all", 1).alias("_any"), _reach("_all", long_min).alias("_many"), _reach("_own", long_min).alias("_own"),
     )
     n = F.lit(positions)
 
-    def sides(number: int, data: Column, count: str, need) -> list[Column]:
+    def sides(number: int, data: Column, need) -> list[Column]:
         def record(o: Column, slices: Column, is_child: bool) -> Column:
             return A.let(
                 slices,
@@ -208,7 +222,7 @@ def lag_match_tuple(
         last = max_offset if number == 0 else first_group_to
         offsets = F.sequence(F.lit(2), F.lit(last))
         later = F.transform(
-            F.filter(offsets, lambda o: F.get(count, n - o) >= need(o)),
+            F.filter(offsets, lambda o: n - o >= need(o)),
             lambda o: record(o, F.transform(data, lambda g: F.slice(g, F.lit(1), n - o)), True),
         )
         earlier = F.transform(
@@ -218,8 +232,8 @@ def lag_match_tuple(
         return [later, earlier]
 
     records = F.concat(
-        *sides(0, F.col("series"), "_nz_all", lambda o: F.when(o >= long_from, long_min).otherwise(1)),
-        *sides(1, F.array("_first"), "_nz_first", lambda o: F.lit(long_min)),
+        *sides(0, F.col("series"), lambda o: F.when(o >= long_from, F.col("_many")).otherwise(F.col("_any"))),
+        *sides(1, F.array("_first"), lambda o: F.col("_own")),
     )
     child, parent = F.col("is_child"), ~F.col("is_child")
     return (
