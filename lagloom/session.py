@@ -58,12 +58,15 @@ def category_values(df: DataFrame, col: str, limit: int = 2000) -> list:
 
 
 def widen(df: DataFrame, *cols: str) -> DataFrame:
-    """Spread rows over ``spark.sql.shuffle.partitions`` tasks by ``cols``.
+    """Spread rows by ``cols`` over as many tasks as the session shuffles to.
 
     For rows that are few bytes but much work: adaptive execution merges partitions by size and
-    would leave the work to few tasks; an explicit count stays.
+    would leave the work to few tasks; an explicit count stays. Where the session still has Spark's
+    default of 200 and fewer than 50 cores, four tasks per core are enough.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n == 200:
+        n = min(n, 4 * df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(n, *cols)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -38,7 +39,7 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
     spark = build_session(
-        "check", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
+        "check", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions=os.environ.get("CHECK_PARTITIONS", "8"),
         spark__driver__memory="12g", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
