@@ -3,13 +3,15 @@
 A document longer than a sequence is cut so that all pieces but the first are full; what is left to pack is one piece
 per document. An open bin is known by its gap alone. A piece goes where the sum, over all gaps, of the squared number
 of open bins with that gap becomes smallest, which keeps the gaps diverse and lets most bins be filled to the last
-token. Every task packs a shard of pieces; pieces of bins left open go on to fewer shards, round by round, until one
-shard, of bounded size, is left.
+token. Every task packs a shard of pieces so, and ends by packing its open bins and some of its filled ones anew, the
+longest piece first. Pieces of bins still open go on to fewer shards, round by round, until one shard, of bounded
+size, is left.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,6 +27,7 @@ from lagloom.session import cut_lineage
 
 LENGTH, END = 1024, 2
 SHARD = 1 << 16  # pieces of one task, about
+REOPEN = 0.3  # share of the filled bins that the last step of a shard may open again
 #: Characters that every edition of the pre-token pattern classes alike.
 SURE = re.compile("[^\t\n\r -~¡-¬®-ɏЀ-џ‐-‧€]")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,6 +109,55 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     return where, offset, np.array(gaps, dtype=np.int64)
 
 
+def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``sum_of_squares``: the longest first, each into the smallest gap that holds it."""
+    bins: list[list[int]] = [[] for _ in range(size + 1)]
+    open_gaps: list[int] = []
+    gaps: list[int] = []
+    where, offset = np.empty(len(lengths), dtype=np.int64), np.empty(len(lengths), dtype=np.int64)
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        n = int(lengths[i])
+        at = bisect.bisect_left(open_gaps, n)
+        if at < len(open_gaps):
+            gap = open_gaps[at]
+            b = bins[gap].pop()
+            if not bins[gap]:
+                del open_gaps[at]
+        else:
+            gap, b = size, len(gaps)
+            gaps.append(size)
+        where[i], offset[i] = b, size - gap
+        gap -= n
+        gaps[b] = gap
+        if gap:
+            if not bins[gap]:
+                bisect.insort(open_gaps, gap)
+            bins[gap].append(b)
+    return where, offset, np.array(gaps, dtype=np.int64)
+
+
+def pack_shard(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of squares for all pieces; then the bins left open, and of the filled ones those with the shortest pieces,
+    are packed anew from the longest piece down, if that takes fewer bins."""
+    where, offset, gaps = sum_of_squares(lengths, size)
+    if not (gaps > 0).any():
+        return where, offset, gaps
+    shortest = np.full(len(gaps), size + 1, dtype=np.int64)
+    np.minimum.at(shortest, where, lengths)
+    full = np.flatnonzero((gaps == 0) & (shortest < size))
+    again = gaps > 0
+    again[full[np.argsort(shortest[full], kind="stable")[: int(len(full) * REOPEN)]]] = True
+    rest = again[where]
+    w, o, g = best_fit_decreasing(lengths[rest], size)
+    if len(g) > again.sum():
+        return where, offset, gaps
+    kept = np.cumsum(~again) - 1
+    new_where = np.where(rest, 0, kept[where])
+    new_where[rest] = w + int((~again).sum())
+    offset[rest] = o
+    return new_where, offset, np.concatenate([gaps[~again], g])
+
+
 def pack(items: DataFrame, size: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """``items`` with sequence_id and offset; needs doc_id, piece, start, length and ids_crc32.
 
@@ -119,7 +171,7 @@ def pack(items: DataFrame, size: int = LENGTH, shard: int = SHARD) -> DataFrame:
     def packed(number: int, last: bool):
         def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values(["order", "doc_id", "piece", "start", "length", "ids_crc32"], kind="stable")
-            where, offset, gaps = sum_of_squares(group["length"].to_numpy(), size)
+            where, offset, gaps = pack_shard(group["length"].to_numpy(), size)
             done = (gaps[where] == 0) | last
             return group[names].assign(
                 sequence_id=(number << 56) + (int(key[0]) << 24) + where, offset=offset, done=done,
