@@ -2,8 +2,8 @@
 
 A softmax regression, fitted on a bounded sample of a labelled table, gives every document a posterior over domains. With
 a_d = posterior times tokens as the column of document d, rates r >= 0 are sought whose expected token totals A r meet
-the targets t. Projected gradient descent on the squared error, measured in the metric of (A A')^-1 so that a step of one
-is right, starts at equal rates:
+the targets t. Projected gradient descent on the squared error, measured in the metric of (A A')^-1 over the documents
+with a rate above zero so that a step of one is right, starts at equal rates:
 
     r <- max(0, r + a_d . y),    y = (A A')^-1 (t - A r)
 
@@ -91,15 +91,15 @@ def fit(features: list[list[int]], domains: list[str], steps: int = 80, ridge: f
     x = np.zeros((len(features), len(common)), dtype=np.float32)
     use = column[flat] >= 0
     x[np.repeat(np.arange(len(features)), counts)[use], column[flat[use]]] = 1
-    weights, seen = np.zeros((len(common), len(names))), np.full((len(common), len(names)), 1e-8)
+    weights, seen = np.zeros((len(common), len(names)), dtype=np.float32), np.full((len(common), len(names)), 1e-8)
     bias, seen_bias = np.zeros(len(names)), np.full(len(names), 1e-8)
     for _ in range(steps):
-        logits = x @ weights + bias
+        logits = (x @ weights).astype(float) + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = (p / p.sum(axis=1, keepdims=True) - target) / len(features)
-        slope = x.T @ error + ridge * weights / len(features) ** 0.5
+        slope = (x.T @ error.astype(np.float32)).astype(float) + ridge * weights / len(features) ** 0.5
         seen += slope**2
-        weights -= 0.1 * slope / np.sqrt(seen)
+        weights -= (0.1 * slope / np.sqrt(seen)).astype(np.float32)
         own = error.sum(axis=0)
         seen_bias += own**2
         bias -= 0.1 * own / np.sqrt(seen_bias)
@@ -172,8 +172,7 @@ def fit_rates(members: DataFrame, domains: list[str], shares: dict[str, float],
     k = len(domains)
     part = [F.col("_posterior")[i] * F.col("_tokens") for i in range(k)]
     sums = [F.sum(p).alias(f"s{i}") for i, p in enumerate(part)]
-    gram = [F.sum(part[i] * part[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]
-    first = members.agg(*sums, *gram).first()
+    first = members.agg(*sums).first()
     have = np.array([first[f"s{i}"] or 0.0 for i in range(k)])
     share = np.array([max(0.0, shares.get(d, 0.0)) for d in domains])
     if have.sum() <= 0 or share.sum() <= 0:
@@ -182,16 +181,17 @@ def fit_rates(members: DataFrame, domains: list[str], shares: dict[str, float],
     wanted = share > 0
     total = float((have[wanted] / share[wanted]).min())
     target = share * total
-    inverse = np.linalg.pinv(np.array([[first[f"g{i}_{j}"] for j in range(k)] for i in range(k)], dtype=float))
     out = Rates(total / float(have.sum()), [], [], target.tolist())
     while True:
-        rate = out.of(F.col("_posterior"), F.col("_tokens"))
-        row = members.withColumn("_rate", rate).agg(*(F.sum(p * F.col("_rate")).alias(f"s{i}") for i, p in enumerate(part))).first()
+        rated = members.withColumn("_rate", out.of(F.col("_posterior"), F.col("_tokens")))
+        moving = [F.sum(F.when(F.col("_rate") > 0, part[i] * part[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]
+        row = rated.agg(*(F.sum(p * F.col("_rate")).alias(f"s{i}") for i, p in enumerate(part)), *moving).first()
         out.totals = [row[f"s{i}"] or 0.0 for i in range(k)]
         miss = target - np.array(out.totals)
         if len(out.steps) >= most or np.abs(miss).max() <= close * total:
             return out
-        out.steps.append((inverse @ miss).tolist())
+        gram = np.array([[row[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
+        out.steps.append((np.linalg.pinv(gram) @ miss).tolist())
 
 
 def copies(rate: Column, *key: str) -> Column:

@@ -1,16 +1,72 @@
-"""The registered queries of this package, each applied to its whole table."""
+"""The registered queries of this package, each applied to its whole table.
+
+No SQL stands beside them: hashes, tokenizers, compression and the trained models have no SQL form, so each is
+tested against a brute-force version in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lagloom.llm import simhash
+from lagloom.llm import editprint, language, licenses, mixing, packing, pii, repeats, simhash, tokens, topk
 from lagloom.llm.common import table
 
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op2_mix_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), labelled, mixing.SHARES)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, sf_dir, "documents"), tokenizer_file(VOCABULARY), tokenizer_file(RANKS))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_file(VOCABULARY))
+
+
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_data(table(spark, sf_dir, "documents"))
+
+
+def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edit_prints(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup, op2_mix_to_target_weights, op3_language_id, op4_repeated_passages, op5_license_scan,
+        op6_best_fit_packing, op7_exact_top_k, op8_token_counts, op9_private_data, op10_edit_fingerprints,
+    )
+}
 ORACLES: dict[str, str] = {}
