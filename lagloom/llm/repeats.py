@@ -3,7 +3,7 @@
 Every string of LENGTH bytes has an anchor, the place among its 24-byte words whose hash is smallest, so equal strings
 share it. Three passes over the documents, dealt out once by id, use this:
 
-1. Anchors, thinned to one per document and task, meet by hash; those that occur in two documents go back to theirs.
+1. Anchors, of each task those of the smallest document, meet by hash (32 bits of it and the part); those that occur in two documents go back to theirs.
 2. Around each of these a document sends its context, the bytes of all strings that have the anchor. Within a task a
    context seen before, in a smaller document, is marked at once, so a copy is sent once per task.
 3. Contexts of an anchor meet in a block. The block's suffixes are ordered, its Burrows-Wheeler transform is kept as runs
@@ -30,8 +30,8 @@ from lagloom.llm.common import raw, slices, texts
 
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM + 1  # grams of a string
-POSITION = 23  # bits that hold a place in a slice
-SLICE = 4 << 20  # bytes looked at together; below half of what the place bits hold
+CHUNK, POSITION = 1 << 17, 18  # strings hashed at once, and bits that hold a place among them
+SLICE = 4 << 20  # bytes of texts looked at together
 BLOCK = 2 << 20  # bytes of contexts indexed together
 SEEN = 1 << 17  # contexts a task remembers
 
@@ -39,41 +39,41 @@ SEEN = 1 << 17  # contexts a task remembers
 def anchors(buf: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per anchor of texts laid end to end: its text, hash, first and last start of the strings that have it."""
     none = np.empty(0, dtype=np.int64)
-    if len(buf) < length:
+    n = len(buf) - length + 1
+    if n < 1:
         return none, none.astype(np.uint64), none, none
-    out = []
-    for lo in range(0, len(buf) - length + 1, SLICE):  # one round but for a text longer than a slice
-        part = buf[lo : lo + SLICE + length - 1]
-        padded = np.concatenate([part, np.zeros(8, dtype=np.uint8)])
-        word = np.ndarray(shape=(len(part),), dtype="<u8", buffer=padded.tobytes(), strides=(1,)).astype(np.uint64)
-        n = len(part) - GRAM + 1
-        h = word[:n] * np.uint64(0x9E3779B97F4A7C15)
+    data = np.concatenate([buf, np.zeros(8, dtype=np.uint8)]).tobytes()
+    hashes, chosen = np.empty(len(buf) - GRAM + 1, dtype=np.uint64), np.empty(n, dtype=np.int64)
+    mask = np.uint64((1 << POSITION) - 1)
+    for lo in range(0, n, CHUNK):
+        strings = min(CHUNK, n - lo)
+        grams = strings + SPAN - 1
+        word = np.ndarray(shape=(grams + 16,), dtype="<u8", buffer=data, offset=lo, strides=(1,)).astype(np.uint64)
+        h = word[:grams] * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-        h = (h + word[8 : 8 + n]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h += word[8 : 8 + grams]
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
         h ^= h >> np.uint64(29)
-        h = (h + word[16 : 16 + n]) * np.uint64(0x165667B19E3779F9)
+        h += word[16 : 16 + grams]
+        h *= np.uint64(0x165667B19E3779F9)
         h ^= h >> np.uint64(32)
-        mask = np.uint64((1 << POSITION) - 1)
-        key = (h & ~mask) | np.arange(n, dtype=np.uint64)
+        hashes[lo : lo + grams] = h
+        key = (h & ~mask) | np.arange(grams, dtype=np.uint64)  # of equal hashes the leftmost
         width = 1
         while width * 2 <= SPAN:
             key = np.minimum(key[:-width], key[width:])
             width *= 2
         if width < SPAN:
             key = np.minimum(key[: len(key) - (SPAN - width)], key[SPAN - width :])
-        at = (key & mask).astype(np.int64)
-        begin = lo + np.arange(len(at))
-        text = np.searchsorted(ends, begin, side="right")
-        fits = np.flatnonzero(begin + length <= ends[np.minimum(text, len(ends) - 1)])
-        if not len(fits):
-            continue
-        q = at[fits]
-        new = np.r_[True, (q[1:] != q[:-1]) | (fits[1:] != fits[:-1] + 1)]
-        last = np.r_[new[1:], True]
-        out.append((text[fits[new]], h[q[new]], begin[fits[new]], begin[fits[last]]))
-    if not out:
-        return none, none.astype(np.uint64), none, none
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        chosen[lo : lo + strings] = (key & mask).astype(np.int64) + lo
+    fits = np.ones(len(buf), dtype=bool)
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        fits[max(a, b - length + 1) : b] = False
+    new = np.r_[True, chosen[1:] != chosen[:-1]] & fits[:n]
+    new[1:] |= fits[1:n] & ~fits[: n - 1]
+    last = np.r_[new[1:] | ~fits[1:n], True] & fits[:n]
+    first = np.flatnonzero(new)
+    return np.searchsorted(ends, first, side="right"), hashes[chosen[first]], first, np.flatnonzero(last)
 
 
 def _joined(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +90,11 @@ def _blob(squeeze: zstandard.ZstdCompressor, *arrays: np.ndarray | bytes) -> lis
     return [squeeze.compress(a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes()) for a in arrays]
 
 
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences, which compress better; the cumulative sum gives the values back."""
+    return np.diff(values, prepend=0)
+
+
 def _by_part(part: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order by part, then by ``more``; (part, from, to)."""
     order = np.lexsort((*more[::-1], part))
@@ -103,12 +108,19 @@ DUP = 40
 LOW = (1 << DUP) - 1
 
 
+def _named(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Rows where ``column`` is not null. Left to Python: a filter would reach the scan of one pass and part its exchange
+    from that of the others."""
+    for batch in batches:
+        yield batch.filter(batch.column(column).is_valid())
+
+
 def _send_anchors(parts: int):
     names = ["part", "hash", "doc", "place", "known"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(_named(batches, "doc_id"), "text", SLICE):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             dup = batch.column("dup").to_numpy(zero_copy_only=False).astype(np.int64)
             text, h, _, _ = anchors(*_joined(raw(batch.column("text"))))
@@ -126,10 +138,10 @@ def _send_anchors(parts: int):
             known = spread[group]
             speaks = doc == low
             part = np.where(speaks, (h % np.uint64(parts)).astype(np.int64), np.abs(doc * 31 + place) % parts)
-            key = np.where(speaks, h >> np.uint64(16), np.uint64(0))
-            order, cuts = _by_part(part, key)
-            key, doc, place, flag = key[order], doc[order], place[order], (known.astype(np.uint8) + 2 * ~speaks.astype(bool))[order]
-            rows = [(p, *_blob(squeeze, key[a:b].view(np.uint8).reshape(-1, 8)[:, :6], doc[a:b], place[a:b], flag[a:b].astype(np.uint8))) for p, a, b in cuts]
+            flag = np.where(speaks, known, 2).astype(np.uint8)
+            order, cuts = _by_part(part, doc, place)
+            short, doc, place, flag = (h[order] >> np.uint64(32)).astype("<u4"), doc[order], place[order], flag[order]
+            rows = [(p, *_blob(squeeze, short[a:b][flag[a:b] < 2], _steps(doc[a:b]), _steps(place[a:b]), flag[a:b])) for p, a, b in cuts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)], names
             )
@@ -142,14 +154,12 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     expand = zstandard.ZstdDecompressor()
 
     def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        columns = [b"".join(expand.decompress(r[i]) for r in rows) for i in range(4)]
-        six = np.zeros((len(columns[3]), 8), dtype=np.uint8)
-        six[:, :6] = np.frombuffer(columns[0], dtype=np.uint8).reshape(-1, 6)
-        key, doc, place = six.view("<u8").ravel(), np.frombuffer(columns[1], "<i8"), np.frombuffer(columns[2], "<i8")
-        flag = np.frombuffer(columns[3], np.uint8)
+        columns = [[np.frombuffer(expand.decompress(r[i]), kind) for r in rows] for i, kind in enumerate(("<u4", "<i8", "<i8", "u1"))]
+        key, flag = np.concatenate(columns[0]), np.concatenate(columns[3])
+        doc, place = (np.concatenate([np.cumsum(x) for x in columns[i]]) for i in (1, 2))
         told = flag >= 2
         keep_doc, keep_place = [doc[told]], [place[told]]
-        key, doc, place, flag = key[~told], doc[~told], place[~told], flag[~told]
+        doc, place, flag = doc[~told], place[~told], flag[~told]
         if len(key):
             order = np.argsort(key, kind="stable")
             key, doc, place, flag = key[order], doc[order], place[order], flag[order]
@@ -182,9 +192,9 @@ def _send_contexts(parts: int):
     names = ["part", "hash", "doc", "place", "size", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6)
         seen: dict[bytes, int] = {}
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(_named(batches, "places"), "text", SLICE):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             dup = batch.column("dup").to_numpy(zero_copy_only=False).astype(np.int64)
             lists = batch.column("places")
@@ -215,11 +225,11 @@ def _send_contexts(parts: int):
             if sent:
                 h_sent = h[np.array([s[0] for s in sent])]
                 part = (h_sent % np.uint64(parts)).astype(np.int64)
-                order, cuts = _by_part(part, h_sent)
+                order, cuts = _by_part(part, np.arange(len(part)))
                 rows = []
                 for p, a, b in cuts:
                     own = [sent[i] for i in order[a:b].tolist()]
-                    rows.append((p, *_blob(squeeze, h_sent[order[a:b]], np.array([s[1] for s in own]), np.array([s[2] for s in own]),
+                    rows.append((p, *_blob(squeeze, (h_sent[order[a:b]] >> np.uint64(32)).astype("<u4"), _steps(np.array([s[1] for s in own])), _steps(np.array([s[2] for s in own])),
                                            np.array([len(s[3]) for s in own], dtype=np.int32), b"".join(s[3] for s in own))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], names
@@ -227,8 +237,8 @@ def _send_contexts(parts: int):
             if marks:
                 # marks that need no index ride along; they are dealt by document
                 doc, place, size = (np.array(c, dtype=np.int64) for c in zip(*marks, strict=True))
-                order, cuts = _by_part(np.abs(doc) % parts)
-                rows = [(p, None, *_blob(squeeze, doc[order[a:b]], place[order[a:b]], size[order[a:b]].astype(np.int32)), None) for p, a, b in cuts]
+                order, cuts = _by_part(np.abs(doc) % parts, doc, place)
+                rows = [(p, None, *_blob(squeeze, _steps(doc[order[a:b]]), _steps(place[order[a:b]]), size[order[a:b]].astype(np.int32)), None) for p, a, b in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], names
                 )
@@ -311,14 +321,27 @@ class RunIndex:
             text, row, start = text[go], row[go], start[go]
 
 
-def mark(values: list[bytes], docs: np.ndarray, places: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, place, size) of the parts of contexts that repeat a string of a smaller document."""
+def mark(
+    h: np.ndarray, values: list[bytes], docs: np.ndarray, places: np.ndarray, length: int = LENGTH
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, place, size) of the parts of contexts that repeat a string of a smaller document.
+
+    Equal contexts are one text of the index; one that differs from no other of its anchor needs no search.
+    """
     number: dict[bytes, int] = {}
     kind = np.array([number.setdefault(v, len(number)) for v in values], dtype=np.int64)
     low = np.full(len(number), np.iinfo(np.int64).max)
     np.minimum.at(low, kind, docs)
-    index = RunIndex(list(number), low, length)
-    text, start, small = (np.concatenate(x) for x in zip(*index.stream(), strict=True))
+    texts_by_kind = list(number)
+    anchor = np.zeros(len(number), dtype=h.dtype)
+    anchor[kind] = h
+    _, group, size = np.unique(anchor, return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(size[group] > 1)
+    text = start = small = np.empty(0, dtype=np.int64)
+    if len(mixed):
+        index = RunIndex([texts_by_kind[i] for i in mixed.tolist()], low[mixed], length)
+        text, start, small = (np.concatenate(x) for x in zip(*index.stream(), strict=True))
+        text = mixed[text]
     # a context in a document above the smallest one that has it is repeated as a whole; in that one, where marked
     hit = small < low[text]
     order = np.lexsort((start[hit], text[hit]))
@@ -339,7 +362,7 @@ def mark(values: list[bytes], docs: np.ndarray, places: np.ndarray, length: int
     )
 
 
-def blocks(h: np.ndarray, docs: np.ndarray, places: np.ndarray, values: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+def blocks(h: np.ndarray, docs: np.ndarray, places: np.ndarray, values: list[bytes]) -> Iterator[tuple]:
     """Contexts in blocks that keep an anchor together; one too large for a block goes string by string, by content."""
     order = np.argsort(h, kind="stable")
     cut = np.r_[np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]]), len(h)]
@@ -355,15 +378,16 @@ def blocks(h: np.ndarray, docs: np.ndarray, places: np.ndarray, values: list[byt
             bucket = np.array([xxhash.xxh64_intdigest(p[0]) % (1 + weight * 8 // BLOCK) for p in pieces])
             for k in np.unique(bucket).tolist():
                 part = [pieces[i] for i in np.flatnonzero(bucket == k).tolist()]
-                yield [p[0] for p in part], np.array([p[1] for p in part]), np.array([p[2] for p in part])
+                content = np.array([xxhash.xxh64_intdigest(p[0]) for p in part], dtype=np.uint64)
+                yield content, [p[0] for p in part], np.array([p[1] for p in part]), np.array([p[2] for p in part])
             continue
         if size + weight > BLOCK and held:
-            yield [values[i] for i in held], docs[held], places[held]
+            yield h[held], [values[i] for i in held], docs[held], places[held]
             held, size = [], 0
         held += own
         size += weight
     if held:
-        yield [values[i] for i in held], docs[held], places[held]
+        yield h[held], [values[i] for i in held], docs[held], places[held]
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,12 +399,12 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         hs, docs, places, values = [], [], [], []
         for h, doc, place, size, content in rows:
-            doc, place = (np.frombuffer(expand.decompress(x), "<i8") for x in (doc, place))
+            doc, place = (np.cumsum(np.frombuffer(expand.decompress(x), "<i8")) for x in (doc, place))
             sizes = np.frombuffer(expand.decompress(size), "<i4")
             if h is None:
                 yield batch_of(doc, place, sizes)
                 continue
-            hs.append(np.frombuffer(expand.decompress(h), "<u8"))
+            hs.append(np.frombuffer(expand.decompress(h), "<u4"))
             docs.append(doc)
             places.append(place)
             data, at = expand.decompress(content), 0
@@ -388,8 +412,8 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 values.append(data[at : at + n])
                 at += n
         if values:
-            for some, doc, place in blocks(np.concatenate(hs), np.concatenate(docs), np.concatenate(places), values):
-                yield batch_of(*mark(some, doc, place))
+            for block in blocks(np.concatenate(hs), np.concatenate(docs), np.concatenate(places), values):
+                yield batch_of(*mark(*block))
 
     yield from _per_part(batches, ["hash", "doc", "place", "size", "bytes"], found)
 
@@ -436,12 +460,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = texts(docs).repartition(n, "doc_id")
     dealt = dealt.withColumn("dup", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")) - 1)
-    whole = dealt.where("doc_id is not null")
     blob = "hash binary, doc binary, place binary"
-    sent = whole.mapInArrow(_send_anchors(n), f"part int, {blob}, known binary")
+    sent = dealt.mapInArrow(_send_anchors(n), f"part int, {blob}, known binary")
     repeated = sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeated_anchors, "doc_id long, place long")
     places = repeated.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    contexts = whole.join(places, "doc_id").mapInArrow(_send_contexts(n), f"part int, {blob}, size binary, bytes binary")
+    contexts = dealt.join(places, "doc_id", "left").mapInArrow(_send_contexts(n), f"part int, {blob}, size binary, bytes binary")
     marks = contexts.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_marks, "doc_id long, place long, size long")
     grouped = marks.groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("marks"))
     return dealt.join(grouped, "doc_id", "left").select("doc_id", "text", "dup", "marks").mapInArrow(
