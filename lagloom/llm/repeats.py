@@ -32,7 +32,7 @@ LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM + 1  # grams of a string
 CHUNK, POSITION = 1 << 17, 18  # strings hashed at once, and bits that hold a place among them
 SLICE = 4 << 20  # bytes of texts looked at together
-BLOCK = 2 << 20  # bytes of contexts indexed together
+BLOCK = 1 << 20  # bytes of contexts indexed together
 SEEN = 1 << 17  # contexts a task remembers
 
 
