@@ -19,7 +19,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     ``lang`` stays as it was. A null text goes; if no language is named in the table, every row goes.
     """
-    return language.identify(docs, language.learn(docs), *docs.columns).where("not rejected").select(docs.columns)
+    return language.with_known_language(docs, language.learn(docs))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

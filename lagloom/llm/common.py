@@ -22,6 +22,33 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def tiled(keyed: DataFrame, item: str, chunk: int) -> DataFrame:
+    """``keyed`` (key, ``item``) dealt out and sorted by (key, tile).
+
+    A key with more than ``chunk`` rows is cut into chunks by a hash of the item, and every two chunks meet in a tile, so
+    no task holds more than two chunks of a key and every two rows of a key meet.
+    """
+    hot = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > chunk)
+    k = F.ceil(F.col("n") / chunk).cast("long")
+    zero = F.lit(0).cast("long")
+    tiles = F.when(F.col("n").isNull(), F.array(zero)).otherwise(
+        F.transform(
+            F.filter(F.sequence(zero, k - 1), lambda x: x != F.col("own")),
+            lambda x: F.least(x, F.col("own")) * F.col("n") + F.greatest(x, F.col("own")),
+        )
+    )
+    spread = lookup(keyed, hot, "key").withColumn("own", F.pmod(F.xxhash64(item), k))
+    n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spread.select("key", item, F.explode(tiles).alias("tile")).repartition(n, "key", "tile").sortWithinPartitions("key", "tile")
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

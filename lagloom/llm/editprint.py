@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagloom.llm.common import components, slices, texts
+from lagloom.llm.common import components, slices, texts, tiled
 from lagloom.operators.lookup import lookup
 from lagloom.session import cut_lineage
 
@@ -166,3 +166,90 @@ def edit_prints(docs: DataFrame) -> DataFrame:
     very_first = F.first("text").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     lasts = told.withColumn("next", F.coalesce("next", very_first)).where("edge = 1").select("doc_id", "text", "next")
     return table.where("edge is null").select(NAMES).unionByName(lasts.mapInArrow(_last_rows, SCHEMA))
+
+
+def edit_distance(a: str, b: str) -> int:
+    """Insertions, deletions and replacements between two texts; columns of the table as bits of one integer."""
+    if not a or not b:
+        return len(a) + len(b)
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    rises, falls, distance = full, 0, len(a)
+    for c in b:
+        equal = places.get(c, 0)
+        across = (((equal & rises) + rises) ^ rises) | equal | falls
+        up, down = falls | (full & ~(across | rises)), rises & across
+        distance += bool(up & top) - bool(down & top)
+        up, down = (up << 1 | 1) & full, (down << 1) & full
+        vertical = equal | falls
+        rises, falls = down | (full & ~(vertical | up)), up & vertical
+    return distance
+
+
+def _band_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of one band with likeness SAME or more, as few as still connect what is connected; rows come sorted."""
+
+    def found(prints: list[str]) -> pa.RecordBatch | None:
+        own = sorted(set(prints))
+        symbols = np.array([list(p) for p in own])
+        above = list(range(len(own)))
+
+        def root(i: int) -> int:
+            while above[i] != i:
+                above[i] = above[above[i]]
+                i = above[i]
+            return i
+
+        pairs = []
+        for i in range(len(own) - 1):
+            for j in (i + 1 + np.flatnonzero(likeness(symbols[i], symbols[i + 1 :]) >= SAME)).tolist():
+                x, y = root(i), root(j)
+                if x != y:
+                    above[y] = x
+                    pairs.append((own[i], own[j]))
+        if not pairs:
+            return None
+        a, b = zip(*pairs, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    run, prints = None, []
+    for batch in batches:
+        for key, tile, own in zip(*(batch.column(c).to_pylist() for c in ("key", "tile", "fingerprint")), strict=True):
+            if (key, tile) != run:
+                if len(prints) > 1 and (out := found(prints)):
+                    yield out
+                run, prints = (key, tile), []
+            prints.append(own)
+    if len(prints) > 1 and (out := found(prints)):
+        yield out
+
+
+def near_copies(docs: DataFrame, prints: DataFrame, chunk: int = 2048) -> DataFrame:
+    """(doc_id, class_id): texts joined by chains of pairs whose edit distance is at most 1 - SAME of the longer one.
+
+    ``prints`` are the rows of ``edit_prints(docs)``. Equal fingerprints count as one text. Candidates agree in a band of
+    SLOTS / BANDS sampled symbols and in SAME of all; of these, pairs enough to connect each band are verified on the
+    texts. class_id is the smallest doc_id of the class.
+    """
+    reps = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")))
+    width = SLOTS // BANDS
+    bands = F.array(*(F.concat(F.lit(f"{b}:"), F.substring("fingerprint", b * width + 1, width)) for b in range(BANDS)))
+    keyed = reps.select("fingerprint", F.explode(bands).alias("key"))
+    pairs = tiled(keyed, "fingerprint", chunk).mapInArrow(_band_pairs, "a string, b string").distinct()
+    for side in ("a", "b"):
+        own = reps.select(F.col("fingerprint").alias(side), F.col("rep").alias(f"{side}_id"))
+        whole = texts(docs).select(F.col("doc_id").alias(f"{side}_id"), F.col("text").alias(f"{side}_text"))
+        pairs = lookup(lookup(pairs, own, side, "inner"), whole, f"{side}_id", "inner")
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("a_id", "b_id", "a_text", "b_text"))
+            good = [(x, y) for x, y, s, t in zip(*columns, strict=True) if edit_distance(s, t) <= (1 - SAME) * max(len(s), len(t))]
+            a, b = zip(*good, strict=True) if good else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    groups = components(pairs.select("a_id", "b_id", "a_text", "b_text").mapInArrow(verified, "a long, b long"))
+    named = lookup(reps, groups.withColumnRenamed("node", "rep"), "rep").select("fingerprint", F.coalesce("root", "rep").alias("class_id"))
+    return lookup(prints.select("doc_id", "fingerprint"), named, "fingerprint").select("doc_id", "class_id")

@@ -84,30 +84,39 @@ def classify(text: str | None, by: dict[str, zstandard.ZstdCompressor]) -> tuple
     return best, margin / (margin + HALF), margin < NARROW and len(bare) >= ENOUGH
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], *keep: str) -> DataFrame:
-    """``keep`` columns of every row of ``docs`` with lang_pred, score and rejected.
+def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
+    """doc_id, lang_pred, score and rejected for every row of ``docs``.
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text if no language was
     learned. A long text whose two best sizes are nearly equal is rejected and keeps its prediction. Very long texts
     are judged whole, piece by piece. Neither source, lang nor id is read for a prediction; repeated rows are
     predicted alike.
     """
-    schema = docs.select(*keep).schema.simpleString()[len("struct<") : -1].replace(":", " ")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = encoders(dictionaries)
-        for batch in slices(batches, "_text", 8 << 20):
-            found = [classify(t, by) for t in batch.column("_text").to_pylist()]
+        for batch in slices(batches, "text", 8 << 20):
+            found = [classify(t, by) for t in batch.column("text").to_pylist()]
             pred, score, rejected = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(pred, pa.string()), pa.array(np.array(score, dtype=float)), pa.array(rejected, pa.bool_())],
-                [*keep, "lang_pred", "score", "rejected"],
+                [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(np.array(score, dtype=float)), pa.array(rejected, pa.bool_())],
+                ["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def with_known_language(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
+    """Rows of ``docs`` that ``classify`` does not reject, all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = encoders(dictionaries)
+        for batch in slices(batches, "text", 8 << 20):
+            yield batch.filter(pa.array([not classify(t, by)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def languages(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected), learned from the rows of ``docs`` that are not held out."""
-    out = identify(docs, learn(docs), "doc_id")
+    out = identify(docs, learn(docs))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

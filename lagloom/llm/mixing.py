@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from lagloom.llm.common import raw, slices
+from lagloom.llm.common import fresh, raw, slices
 from lagloom.session import cut_lineage
 
 SAMPLE = 4000  # labelled documents the classifier is fitted on, at most
@@ -164,10 +164,10 @@ class Rates:
         return F.aggregate(steps, F.lit(self.start), lambda r, y: F.greatest(F.lit(0.0), r + dot(y)))
 
 
-def fit_rates(members: DataFrame, domains: list[str], shares: dict[str, float], most: int = 60, close: float = 1e-6) -> Rates:
+def fit_rates(members: DataFrame, domains: list[str], shares: dict[str, float], most: int = 30, close: float = 1e-6) -> Rates:
     """Rates for ``members`` (_tokens, _posterior) whose expected totals follow ``shares``.
 
-    The total is the largest at which no domain needs more tokens than it has. Domains missing in ``shares`` get none.
+    The total is what the documents hold, so the rates of a scarce domain rise above one. Domains missing in ``shares`` get none.
     """
     k = len(domains)
     part = [F.col("_posterior")[i] * F.col("_tokens") for i in range(k)]
@@ -178,10 +178,9 @@ def fit_rates(members: DataFrame, domains: list[str], shares: dict[str, float],
     if have.sum() <= 0 or share.sum() <= 0:
         return Rates(1.0, [], have.tolist(), have.tolist())
     share = share / share.sum()
-    wanted = share > 0
-    total = float((have[wanted] / share[wanted]).min())
+    total = float(have.sum())
     target = share * total
-    out = Rates(total / float(have.sum()), [], [], target.tolist())
+    out = Rates(1.0, [], [], target.tolist())
     while True:
         rated = members.withColumn("_rate", out.of(F.col("_posterior"), F.col("_tokens")))
         moving = [F.sum(F.when(F.col("_rate") > 0, part[i] * part[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]
@@ -232,12 +231,16 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, shares: dict[str, float])
 
 
 def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float]) -> DataFrame:
-    """Rows of ``docs``, each as often as its rate says, at most once per whole copy; columns stay as they are."""
+    """Rows of ``docs``, each as often as its rate says; columns stay as they are."""
     model = fit_domains(docs, labelled)
     if not model.domains:
         return docs
-    scored = with_posteriors(docs, model)
     members = cut_lineage(with_posteriors(docs.select("text"), model).select("_tokens", "_posterior"))
-    rate = fit_rates(members, model.domains, shares).of(F.col("_posterior"), F.col("_tokens"))
-    kept = scored.withColumn("_copies", copies(rate, "doc_id", "_tokens")).where("_copies > 0")
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(docs.columns)
+    rates = fit_rates(members, model.domains, shares)
+    names = docs.columns
+    packed = fresh("_row", names)
+    # posteriors are found anew beside the rows: cheaper than moving texts to a join
+    scored = with_posteriors(docs.select(F.struct(*names).alias(packed), "text"), model)
+    times = copies(rates.of(F.col("_posterior"), F.col("_tokens")), f"{packed}.doc_id", "_tokens")
+    each = F.sequence(F.lit(1).cast("long"), "_copies")
+    return scored.withColumn("_copies", times).where("_copies > 0").withColumn("_copy", F.explode(each)).select(f"{packed}.*")

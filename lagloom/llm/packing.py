@@ -162,7 +162,8 @@ def pack(items: DataFrame, size: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """``items`` with sequence_id and offset; needs doc_id, piece, start, length and ids_crc32.
 
     Full pieces are sequences of their own. The shards of a round are drawn by a hash of the piece, so that each has
-    the lengths of the whole; only bins with a gap pass their pieces on, and a round that has one shard is the last.
+    the lengths of the whole; only bins with a gap pass their pieces on. A round that has one shard is the last, and so is
+    one that leaves more than half of its pieces in bins with a gap.
     """
     spark = items.sparkSession
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -188,11 +189,13 @@ def pack(items: DataFrame, size: int = LENGTH, shard: int = SHARD) -> DataFrame:
             .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(number + 1000)), F.lit(shards)))
             .groupBy("shard").applyInPandas(packed(number, shards == 1), f"{columns}, sequence_id long, offset long, done boolean")
         )
-        done.append(placed.where("done").drop("done"))
-        if shards == 1:
+        open_pieces = 0 if shards == 1 else placed.where("not done").count()
+        if 2 * open_pieces > n:  # most lengths leave gaps whatever they are packed with: another round would not help
+            shards = 1
+        done.append((placed if shards == 1 else placed.where("done")).drop("done"))
+        if shards == 1 or not open_pieces:
             break
-        left = placed.where("not done").select(*names)
-        n, number = left.count(), number + 1
+        left, n, number = placed.where("not done").select(*names), open_pieces, number + 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

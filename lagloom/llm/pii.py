@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lagloom.llm.common import slices, texts
+from lagloom.llm.common import fresh, slices, texts
 from lagloom.operators.lookup import lookup
 from lagloom.session import cut_lineage
 
@@ -243,20 +243,21 @@ def sanitise(docs: DataFrame) -> DataFrame:
     n_chars, where there is one, follows the new text; a null text stays null and every row stays.
     """
     names = docs.columns
+    key_name, spans_name = fresh("_key", names), fresh("_spans", names)
     found = find(docs).where("size(spans) > 0 or size(term_spans) > 0")
-    keyed = found.select(F.col("text_key").alias("_key"), F.array_sort(F.concat("spans", "term_spans")).alias("_spans"))
-    spans = cut_lineage(keyed.groupBy("_key").agg(F.first("_spans").alias("_spans")))
+    keyed = found.select(F.col("text_key").alias(key_name), F.array_sort(F.concat("spans", "term_spans")).alias(spans_name))
+    spans = cut_lineage(keyed.groupBy(key_name).agg(F.first(spans_name).alias(spans_name)))
     target = docs.schema
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pa.array([None if t is None else _hash(t) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*names, "_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*names, key_name])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, own in zip(batch.column("text").to_pylist(), batch.column(spans_name).to_pylist(), strict=True):
                 if text is not None and own:
                     parts, at = [], 0
                     for s in sorted(own, key=lambda s: (s["start"], -s["end"])):
@@ -272,5 +273,5 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, pa.int64()).cast(batch.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
-    wide = StructType([*target.fields, StructField("_key", LongType())])
-    return docs.mapInArrow(key, wide).join(spans, "_key", "left").select(*names, "_spans").mapInArrow(replace, target)
+    wide = StructType([*target.fields, StructField(key_name, LongType())])
+    return docs.mapInArrow(key, wide).join(spans, key_name, "left").select(*names, spans_name).mapInArrow(replace, target)

@@ -249,7 +249,7 @@ def _send_contexts(parts: int):
 class RunIndex:
     """Run-compressed Burrows-Wheeler transform of distinct texts, each ended by a mark below all bytes.
 
-    Per run: first row, symbol, the row its first row leads back to, and the place of the suffix at its last row. Rows
+    ``length`` is seven or more, the bytes ranked at first. Per run: first row, symbol, the row its first row leads back to, and the place of the suffix at its last row. Rows
     whose suffixes agree in LENGTH bytes form intervals; of these the first row and the smallest document are kept.
     """
 

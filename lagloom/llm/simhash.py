@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagloom.llm.common import components, raw, slices, star, texts
+from lagloom.llm.common import components, raw, slices, star, texts, tiled
 from lagloom.operators.lookup import lookup
 from lagloom.session import cut_lineage
 
@@ -133,7 +133,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, ("key", "tile", "fp"), strict=True)]
         if not len(rows[0]):
             continue
-        last = int(np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))[-1]) + 1 if ((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1])).any() else 0
+        other = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))
+        last = int(other[-1]) + 1 if len(other) else 0
         held = [x[last:] for x in rows]
         if last:
             yield from found(rows[0][:last], rows[1][:last], rows[2][:last].view(np.uint64))
@@ -158,18 +159,7 @@ def _keys(fp: Column) -> Column:
 def links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) that join every pair of ``distinct.fp`` at three or fewer bits, directly or by a chain of links."""
     keyed = distinct.select("fp", F.explode(_keys(F.col("fp"))).alias("key"))
-    hot = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > chunk)
-    k = F.ceil(F.col("n") / chunk).cast("long")
-    own = F.pmod(F.xxhash64("fp"), k)
-    tiles = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.transform(
-            F.filter(F.sequence(F.lit(0).cast("long"), k - 1), lambda x: x != F.col("own")),
-            lambda x: F.least(x, F.col("own")) * F.col("n") + F.greatest(x, F.col("own")),
-        )
-    )
-    tiled = lookup(keyed, hot, "key").withColumn("own", own).select("key", "fp", F.explode(tiles).alias("tile"))
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tiled.repartition(n, "key", "tile").sortWithinPartitions("key", "tile").mapInArrow(_links, "a long, b long")
+    return tiled(keyed, "fp", chunk).mapInArrow(_links, "a long, b long")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
