@@ -64,6 +64,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterato
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def star(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -94,7 +94,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = encoders(dictionaries)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found = [classify(t, by) for t in batch.column("text").to_pylist()]
             pred, score, rejected = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -110,7 +110,7 @@ def with_known_language(docs: DataFrame, dictionaries: dict[str, bytes]) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = encoders(dictionaries)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             yield batch.filter(pa.array([not classify(t, by)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -174,7 +174,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [compile_template(*t) for t in TEMPLATES]
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             out = []
             for text in raw(batch.column("text")):
                 n, starts, named, spans, share = scan(text, automata)

@@ -29,7 +29,7 @@ from lagloom.session import cut_lineage
 SAMPLE = 4000  # labelled documents the classifier is fitted on, at most
 FEATURES = 1 << 15
 RARE = 50  # a feature needs one in so many documents of the sample to get a weight
-HELD = 1 << 18  # words whose features a task keeps
+HELD = 1 << 17  # words whose features a task keeps
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -109,7 +109,7 @@ def fit(features: list[list[int]], domains: list[str], steps: int = 80, ridge: f
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = Features()
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         found = [features(t)[1] for t in raw(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array(found, pa.list_(pa.int64()))], ["domain", "features"])
 
@@ -136,7 +136,7 @@ def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found = [features(t or b"") for t in raw(batch.column("text"))]
             p = model.posteriors([f for _, f in found])
             yield pa.RecordBatch.from_arrays(

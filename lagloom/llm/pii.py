@@ -30,6 +30,7 @@ from lagloom.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, SUPPORT, SHARE, LEAST = 8, 3, 0.9, 3  # words on each side, contexts, threshold, letters of a term
+HELD = 1 << 18  # places a task holds back
 FILTER_BITS = 23  # size of the filter that carries candidate terms to the corpus: 1 MB, whatever their number
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 SPAN_TYPE = "array<struct<kind:string,start:long,end:long>>"
@@ -105,7 +106,7 @@ def _context(words: list[tuple[str, int, int]], low: int, high: int) -> int:
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Base spans of every text, and (entity, term, context) around them."""
     near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64())]))
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         ids, keys, found, around, sizes = [], [], [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             spans = base_spans(text)
@@ -154,15 +155,31 @@ def disclosing_terms(
     if not carried:
         return None
 
+    # a term above this many contexts discloses too little of any entity: n_t <= n_et * (N / n_e) ** (1 - share)
+    total = float(scanned.agg(F.sum("words")).first()[0] or 1)
+    most = int(joint.agg(F.max("n_et")).first()[0] * total ** (1 - share))
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places of the candidate terms; of one that passes ``most`` contexts in this task, a row that says so."""
         bits = np.frombuffer(carried, dtype=np.int64)
+        held: dict[int, tuple[set, list]] = {}
+        passed: set[int] = set()
+        names = ["doc_id", "text_key", "term", "context", "start", "end"]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            todo: list[tuple] = []
+            for term in list(held):
+                todo += held.pop(term)[1]
+                if len(todo) > 10_000 or not held:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*todo, strict=True)], names)
+                    todo = []
+
         known: dict[str, int | None] = {}
-        for batch in slices(batches, "text", 8 << 20):
-            rows = []
+        for batch in slices(batches, "text", 2 << 20):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = _words(text, base_spans(text))
                 key = None
-                if len(known) > 1 << 19:
+                if len(known) > 1 << 17:
                     known.clear()
                 for i, (word, a, b) in enumerate(words):
                     if len(word) < LEAST:
@@ -170,21 +187,31 @@ def disclosing_terms(
                     if word not in known:
                         term = _hash(word)
                         slot = term % (1 << FILTER_BITS)
-                        known[word] = term if int(bits[slot >> 6]) >> (slot & 63) & 1 else None
-                    if known[word] is not None:
-                        key = _hash(text) if key is None else key
-                        rows.append((doc_id, key, known[word], _context(words, i - window, i + window + 1), a, b))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            names = ["doc_id", "text_key", "term", "context", "start", "end"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+                        known[word] = term if int(bits[slot >> 6]) >> (slot & 63) & 1 and term not in passed else None
+                    term = known[word]
+                    if term is None:
+                        continue
+                    key = _hash(text) if key is None else key
+                    contexts, rows = held.setdefault(term, (set(), []))
+                    context = _context(words, i - window, i + window + 1)
+                    contexts.add(context)
+                    rows.append((doc_id, key, term, context, a, b))
+                    if len(contexts) > most:
+                        passed.add(term)
+                        known[word] = None
+                        del held[term]
+            if sum(len(rows) for _, rows in held.values()) > HELD:
+                yield from flush()  # counting goes on over all tasks; a task only saves rows that cannot matter
+        held.update((term, (set(), [(None, None, term, None, None, None)])) for term in passed)
+        yield from flush()
 
     places = cut_lineage(texts(docs).mapInArrow(occurrences, "doc_id long, text_key long, term long, context long, start long, end long"))
-    # a term in two places of one context counts once, and a context is a word's surroundings, so copies count once
-    n_t = places.select("term", "context").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    # contexts are counted, not places, so copies of a text count once
+    counted = places.select("term", "context").distinct().groupBy("term")
+    n_t = counted.agg(F.count("context").alias("n_t"), F.max(F.col("context").isNull()).alias("passed")).where("not passed").drop("passed")
     n_e = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    total = scanned.agg(F.sum("words")).first()[0] or 1
     known = lookup(lookup(joint, n_t, "term", "inner"), n_e, "entity", "inner")
-    bits = F.log2(F.lit(float(total)) / F.col("n_e"))
+    bits = F.log2(F.lit(total) / F.col("n_e"))
     disclosed = (bits + F.log2(F.least(F.lit(1.0), F.col("n_et") / F.col("n_t")))) / bits
     terms = known.where((bits > 0) & (disclosed > share)).groupBy("term").agg(F.count("*").alias("entities"))
     return terms, places
@@ -204,7 +231,7 @@ def find(docs: DataFrame) -> DataFrame:
         return rows.withColumn("term_spans", F.array().cast(SPAN_TYPE))
     terms, places = found
     kind = F.when(F.col("entities") > 1, "term").otherwise("key")
-    own = lookup(places, terms, "term", "inner", measure=True).select(
+    own = lookup(places.where("context is not null"), terms, "term", "inner", measure=True).select(
         "doc_id", "text_key", F.struct(kind.alias("kind"), "start", "end").alias("span")
     )
     grouped = own.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("span")).alias("term_spans"))
@@ -250,12 +277,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     target = docs.schema
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 2 << 20):
             keys = pa.array([None if t is None else _hash(t) for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*names, key_name])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 2 << 20):
             out = []
             for text, own in zip(batch.column("text").to_pylist(), batch.column(spans_name).to_pylist(), strict=True):
                 if text is not None and own:

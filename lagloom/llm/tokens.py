@@ -21,7 +21,7 @@ from lagloom.llm.common import slices, texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose class no edition of Unicode has changed; texts with others are split by the library itself.
 ODD = re.compile("[^\t\n\r -~¡-¬®-ɏЀ-џ‐-‧€]")
-HELD = 1 << 18  # pre-tokens whose counts a task keeps
+HELD = 1 << 17  # pre-tokens whose counts a task keeps
 LIMIT = 1024
 
 
