@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagloom.llm.common import slices
+from lagloom.operators.lookup import lookup
 
 UNKNOWN = "und"
 NOT_LETTERS = regex.compile(r"[^\p{L}]+")
@@ -46,9 +47,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, bytes]:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(1 << 40)) / float(1 << 40)
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    few = known.select("lang", draw.alias("draw"), F.col("doc_id").cast("string").alias("doc_id"), "text").join(
-        counts, "lang"
-    ).where(F.col("draw") * F.col("n") < 2 * sample)
+    drawn = known.select("lang", draw.alias("draw"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    few = lookup(drawn, counts, "lang", "inner", measure=True).where(F.col("draw") * F.col("n") < 2 * sample)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
     rows = few.withColumn("rank", rank).where(F.col("rank") <= sample).select("n", "lang", "rank", "text").collect()
     out: dict[str, bytes] = {}
