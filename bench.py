@@ -48,7 +48,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__sql__shuffle__partitions=str(2 * int(cpus)),
-        spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"), spark__ui__showConsoleProgress="false",
+        spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"), spark__ui__showConsoleProgress="false", spark__sql__files__maxPartitionBytes="2m",
     )
     spark.sparkContext.setLogLevel("ERROR")
     catalog.QUERIES["panel_basic_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from lagloom.operators.lookup import lookup
 from lagloom.session import cut_lineage
 
-MAX_LONG_CODES = 62
 
 
 def count_over_union(parts: list[DataFrame], col: str, out: str) -> DataFrame:
@@ -39,27 +38,26 @@ def distinct_first_appearance(df: DataFrame, col: str, row_pos: str = "row_pos")
 
 
 def first_appearance_code(df: DataFrame, col: str, row_pos: str = "row_pos") -> DataFrame:
-    """``(value, code)``: code 2**k for the k-th value by first appearance.
+    """``(value, code)``: the ordinal, from 0, of each value by first appearance, for any number of values.
 
-    Past 62 values codes no longer fit a long, so more raise. Only the first 63 values reach the
-    one task that numbers them.
+    The power of two that a small table would use as mask is ``2 ** code``.
     """
-    few = distinct_first_appearance(df, col, row_pos).orderBy("first_pos", col).limit(MAX_LONG_CODES + 1)
-    k = F.row_number().over(W.orderBy("first_pos", col)) - 1
-    code = F.when(k < MAX_LONG_CODES, F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_LONG_CODES} values of {col}")).cast("long")
-    )
-    return few.select(col, code.alias("code"))
+    return _numbered(distinct_first_appearance(df, col, row_pos), ["first_pos", col], "code").select(col, "code")
 
 
 def bitmask_sum(
     children: DataFrame, codes: DataFrame, col: str, out: str, on: str = "id",
     values: list | None = None, distinct: bool = False,
 ) -> DataFrame:
-    """Sum of the codes of an entity's children; repeated values add up unless ``distinct``."""
+    """The sum of ``2 ** code`` over an entity's children, written as ``[(code, n), ...]`` in the order of the codes.
+
+    Repeated values add up, so n may be any number; with ``distinct`` only the codes are listed. In this form
+    neither the number of codes nor that of repeats can overflow.
+    """
     rows = children if values is None else children.where(F.col(col).isin(*values))
-    agg = F.bit_or("code") if distinct else F.sum("code")
-    return lookup(rows.select(on, col), codes, col, "inner").groupBy(on).agg(agg.alias(out))
+    counts = lookup(rows.select(on, col), codes, col, "inner").groupBy(on, "code").agg(F.count("*").alias("n"))
+    term = F.col("code") if distinct else F.struct("code", "n")
+    return counts.groupBy(on).agg(F.array_sort(F.collect_list(term)).alias(out))
 
 
 def pivot_onehot(children: DataFrame, col: str, values: list, on: str = "id") -> DataFrame:
@@ -129,26 +127,26 @@ def _edge_row(df: DataFrame, on: list[str], pick, row_pos: str) -> DataFrame:
     return df.groupBy(*on).agg(pick(F.struct(*rest), row_pos).alias("_row")).select(*on, "_row.*")
 
 
-def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
-    """``(value, code)``: 0-based codes of the distinct values in sorted order.
+def _numbered(distinct: DataFrame, order: list[str], out: str) -> DataFrame:
+    """Distinct rows with their position in ``order`` from 0.
 
-    The values are range-sorted over partitions and numbered inside each; the sizes of the earlier
-    partitions are added from a table with one row per partition. The sorted values are
-    written out first, so both uses see the same partition bounds.
+    Rows are range-sorted over partitions and numbered inside each; the sizes of the earlier partitions are added from a
+    table with one row per partition. The sorted rows are written out first, so both uses see the same bounds.
     """
     at = F.monotonically_increasing_id()
     ordered = cut_lineage(
-        df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).select(
-            col, F.shiftright(at, 33).alias("_part"), at.bitwiseAND((1 << 33) - 1).alias("_k")
-        )
+        distinct.orderBy(*order).select("*", F.shiftright(at, 33).alias("_part"), at.bitwiseAND((1 << 33) - 1).alias("_k"))
     )
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     # One row per partition of the sort, so bounded by spark.sql.shuffle.partitions.
-    return ordered.join(F.broadcast(offsets), "_part").select(
-        col, (F.col("_k") + F.col("_before")).alias(out)
-    )
+    return ordered.join(F.broadcast(offsets), "_part").select(*distinct.columns, (F.col("_k") + F.col("_before")).alias(out))
+
+
+def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """``(value, code)``: 0-based codes of the distinct values in sorted order."""
+    return _numbered(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out)
 
 
 def label_encode(parts: list[DataFrame], col: str, out: str) -> DataFrame:

@@ -95,7 +95,8 @@ def part_pieces(parts: DataFrame, vocab: DataFrame) -> DataFrame:
             F.concat(F.when(F.col("start") > 0, "##").otherwise(""), F.substr("part", F.col("start") + 1, F.col("n"))).alias("term"),
         )
     )
-    hits = stretches.join(vocab.select("term"), "term").groupBy("part", "start").agg(F.max("n").alias("n"))
+    # short stretches are in most words: a small vocabulary leaves the stretches in place, beside a large one a hot term is split
+    hits = lookup(stretches, vocab.select("term").distinct(), "term", "inner", measure=True).groupBy("part", "start").agg(F.max("n").alias("n"))
     by_part = hits.groupBy("part").agg(
         F.map_from_entries(F.collect_list(F.struct("start", "n"))).alias("_len")
     )
@@ -157,6 +158,7 @@ def token_window(
     once.
     """
     size = length - 2
+    reach = size + abs(shift)
     text, off = F.col("text"), F.col("off")
     rows = F.array(
         *[
@@ -177,8 +179,8 @@ def token_window(
     near = cut_lineage(
         cut.select(
             "doc_id", "role", "masked",
-            F.slice("_b", F.greatest(F.size("_b") - size, F.lit(1)), size + 1).alias("_b"),
-            "_t", F.slice("_a", 1, size + 1).alias("_a"),
+            F.slice("_b", F.greatest(F.size("_b") - reach, F.lit(1)), reach + 1).alias("_b"),
+            "_t", F.slice("_a", 1, reach + 1).alias("_a"),
         )
     )
 

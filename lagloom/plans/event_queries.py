@@ -8,7 +8,9 @@ from lagloom.operators import events as E
 from lagloom.operators.lookup import lookup
 from lagloom.plans import fixtures as X
 from lagloom.plans.registry import query
+from lagloom.session import category_values
 
+#: Columns of the SQL checks, which must name them; the queries pivot whatever values the data hold.
 FLAGS = ["A", "N", "R"]
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -44,7 +46,7 @@ def distinct_first_appearance(spark, d):
 
 
 _CODES = """
-    codes AS (SELECT event_type, CAST(1 << CAST(row_number() OVER (ORDER BY p, event_type) - 1 AS INT) AS BIGINT) AS code
+    codes AS (SELECT event_type, row_number() OVER (ORDER BY p, event_type) - 1 AS code
               FROM (SELECT event_type, min(row_pos) AS p FROM child_events GROUP BY event_type))"""
 
 
@@ -56,16 +58,28 @@ def first_appearance_code(spark, d):
 @query(
     "bitmask_sum",
     f"""WITH {_CODES}
-        SELECT id, CAST(sum(code) AS BIGINT) AS event_mask,
-               CAST(coalesce(sum(code) FILTER (event_type IN ('click', 'error')), 0) AS BIGINT) AS listed_mask
-        FROM child_events JOIN codes USING (event_type) GROUP BY id""",
+        SELECT id, string_agg(code || ':' || n, ',' ORDER BY code) AS event_mask,
+               coalesce(string_agg(code || ':' || n, ',' ORDER BY code) FILTER (event_type IN ('click', 'error')), '') AS listed_mask
+        FROM (SELECT id, event_type, code, count(*) AS n FROM child_events JOIN codes USING (event_type) GROUP BY ALL) GROUP BY id""",
 )
 def bitmask_sum(spark, d):
     rows = X.child_events(spark, d)
     codes = E.first_appearance_code(rows, "event_type")
-    everything = E.bitmask_sum(rows, codes, "event_type", "event_mask")
-    listed = E.bitmask_sum(rows, codes, "event_type", "listed_mask", values=["click", "error"])
-    return E.join_feature_tables(rows, [everything, listed])
+
+    def mask(out: str, values: list | None = None):
+        text = F.array_join(F.transform(out, lambda m: F.concat_ws(":", m["code"].cast("string"), m["n"].cast("string"))), ",")
+        return E.bitmask_sum(rows, codes, "event_type", out, values=values).select("id", text.alias(out))
+
+    both = mask("event_mask").join(mask("listed_mask", ["click", "error"]), "id", "left")
+    return both.withColumn("listed_mask", F.coalesce("listed_mask", F.lit("")))
+
+
+def _flags(items):
+    return E.pivot_onehot(items, "category", category_values(items, "category"))
+
+
+def _last_values(events):
+    return E.pivot_last_value(events, "event_type", "volume", category_values(events, "event_type"))
 
 
 _ONEHOT = "SELECT id, " + ", ".join(
@@ -75,7 +89,7 @@ _ONEHOT = "SELECT id, " + ", ".join(
 
 @query("pivot_onehot", _ONEHOT)
 def pivot_onehot(spark, d):
-    return E.pivot_onehot(X.child_items(spark, d), "category", FLAGS)
+    return _flags(X.child_items(spark, d))
 
 
 _LAST = "SELECT id, " + ", ".join(
@@ -85,7 +99,7 @@ _LAST = "SELECT id, " + ", ".join(
 
 @query("pivot_last_value", _LAST)
 def pivot_last_value(spark, d):
-    return E.pivot_last_value(X.child_events(spark, d), "event_type", "volume", TYPES)
+    return _last_values(X.child_events(spark, d))
 
 
 @query(
@@ -96,7 +110,8 @@ def pivot_last_value(spark, d):
         FROM ({_LAST})""",
 )
 def pair_indicator(spark, d):
-    return E.pair_indicator(E.pivot_last_value(X.child_events(spark, d), "event_type", "volume", TYPES), TYPES)
+    events = X.child_events(spark, d)
+    return E.pair_indicator(_last_values(events), category_values(events, "event_type"))
 
 
 @query(
@@ -279,8 +294,8 @@ def join_feature_tables_outer(spark, d):
     return E.join_feature_tables(
         X.entity(spark, d),
         [
-            E.pivot_onehot(X.child_items(spark, d), "category", FLAGS),
-            E.pivot_last_value(events, "event_type", "volume", TYPES),
+            _flags(X.child_items(spark, d)),
+            _last_values(events),
             events.groupBy("id").agg(F.count(F.lit(1)).alias("cnt")),
         ],
     )

@@ -13,7 +13,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lagloom.operators.panel import assemble_panel
-from lagloom.session import spread_scan
 
 GROUPS, POSITIONS = 8, 40
 CHILD_ID, COPY_ID = 1_000_000_000, 2_000_000_000
@@ -27,7 +26,7 @@ assert len(URL_HEAD) == 29
 def read(spark: SparkSession, d: str, table: str) -> DataFrame:
     df = spark.read.parquet(f"{d}/{table}.parquet")
     # Long texts are much work per byte, and the small test files hold a single row group.
-    return spread_scan(df) if table == "documents" else df
+    return df
 
 
 # --- entities and their child rows ------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Session settings and the two helpers that need the session: checkpoints and category lists."""
+"""Session settings and what needs the session: tables that cut lineage, category lists, spreading of work."""
 
 from __future__ import annotations
 
@@ -38,42 +38,50 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/lagloom-{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write to a table of its own in the shared folder and read it back.
+    """Write to a table of its own in the session's part of the shared folder and read it back.
 
-    Unlike ``checkpoint()`` this computes the rows once, and readers prune columns.
+    Unlike ``checkpoint()`` this computes the rows once, and readers prune columns. The tables stay until ``discard`` or
+    ``release``, as a result may be read at any later time.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/lagloom-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lagloom_path = path
+    return out
 
 
-def category_values(df: DataFrame, col: str, limit: int = 2000) -> list:
-    """Distinct values of a category column, sorted; raises when there are more than ``limit``."""
-    rows = df.select(col).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} values; keep it in long form")
-    return sorted(r[0] for r in rows if r[0] is not None)
+def discard(df: DataFrame) -> None:
+    """Delete the table of a ``cut_lineage`` that nothing will read again, such as the last round's."""
+    path = getattr(df, "_lagloom_path", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
-def widen(df: DataFrame, *cols: str) -> DataFrame:
-    """Spread rows by ``cols`` over as many tasks as the session shuffles to.
+def release(spark: SparkSession) -> None:
+    """Delete all tables that ``cut_lineage`` wrote in this session; results still unread are lost with them."""
+    _delete(spark, _own_folder(spark))
 
-    For rows that are few bytes but much work: adaptive execution merges partitions by size and
-    would leave the work to few tasks; an explicit count stays. Where the session still has Spark's
-    default of 200 and fewer than 50 cores, four tasks per core are enough.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if n == 200:
-        n = min(n, 4 * df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(n, *cols)
+
+def category_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a category column, sorted: the columns of a pivot."""
+    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin the rows of a scan that has fewer partitions than there are cores.
+def widen(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread rows by ``cols`` over as many tasks as the session shuffles to.
 
-    A large input has partitions enough and is left as it is.
+    For rows that are few bytes but much work: adaptive execution merges partitions by size and
+    would leave the work to few tasks; an explicit count stays.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
