@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagloom.operators.lookup import lookup
-from lagloom.session import cut_lineage
+from lagloom.session import cut_lineage, discard
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +108,8 @@ def components(links: DataFrame) -> DataFrame:
         large = tidy(lookup(both, low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         pairs = F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-        edges = cut_lineage(tidy(lookup(large, low, "a").select(F.inline(pairs))))
+        last, edges = edges, cut_lineage(tidy(lookup(large, low, "a").select(F.inline(pairs))))
+        discard(last)
         after = summary(edges)
         if after == before:
             break
