@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 K, SCALE = 20, 64
-LEAF, BASE = 64, 1.3  # points of a leaf, ratio of a level's radius to the next
-QUERIES, CANDIDATES, SAMPLE = 4096, 16384, 2048  # rows of a block; candidates that give the first bound
+LEAF, FAN, BASE = 512, 32, 1.3  # points of a leaf, children of a node, ratio of a level's radius to the next
+QUERIES, CANDIDATES, SAMPLE = 4096, 16384, 8192  # rows of a block; candidates that give the first bound
 EXACT = float(1 << 53)
 
 
@@ -32,13 +32,14 @@ class Node:
 
 
 def cover_tree(x: np.ndarray, points: np.ndarray, centre: int) -> Node:
-    """Tree over rows ``points`` of ``x``. Centres of the next level are picked farthest first until all are covered."""
+    """Tree over rows ``points`` of ``x``. Centres of the next level are picked farthest first until all points are covered at
+    the next radius, or there are FAN of them; each child keeps the radius it really has."""
     distance = np.sqrt(((x[points] - x[centre]) ** 2).sum(axis=1))
     node = Node(x[centre], float(np.sqrt((x[centre] ** 2).sum())), float(distance.max(initial=0.0)), points)
     if len(points) <= LEAF or node.radius == 0:
         return node
     goal, centres, owner = node.radius / BASE, [centre], np.zeros(len(points), dtype=np.int64)
-    while distance.max() > goal and len(centres) < max(8, len(points) // 16):
+    while distance.max() > goal and len(centres) < FAN:
         far = int(distance.argmax())
         own = np.sqrt(((x[points] - x[points[far]]) ** 2).sum(axis=1))
         nearer = own < distance
@@ -78,6 +79,8 @@ def dual_search(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
     slack = 1e-9 * (1 + float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1])
     wide_q, wide_c = (None, None) if exact else ([[int(v) for v in r] for r in q], [[int(v) for v in r] for r in c])
 
+    norms = np.sqrt((q**2).sum(axis=1))
+
     def scores(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
         if exact:
             return q[rows] @ c[points].T
@@ -92,11 +95,14 @@ def dual_search(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
         if bound(a, b) < best.kth[a.points].min():
             continue
         if not a.children and not b.children:
-            found = scores(a.points, b.points)
-            for row, own in zip(a.points.tolist(), found, strict=True):
-                good = np.flatnonzero((own >= best.kth[row]) & (c_ids[b.points] != q_ids[row]))
-                if len(good):
-                    best.offer(row, own[good], c_ids[b.points[good]])
+            # of the group, the queries whose own bound reaches into the node
+            rows = a.points[q[a.points] @ b.centre + b.radius * norms[a.points] + slack >= best.kth[a.points]]
+            if not len(rows):
+                continue
+            found, ids = scores(rows, b.points), c_ids[b.points]
+            good = (found >= best.kth[rows][:, None]) & (ids[None, :] != q_ids[rows][:, None])
+            for i in np.flatnonzero(good.any(axis=1)).tolist():
+                best.offer(int(rows[i]), found[i, good[i]], ids[good[i]])
         else:
             pairs = [(x, b) for x in a.children] if a.children and (a.radius >= b.radius or not b.children) else [(a, y) for y in b.children]
             stack += sorted(pairs, key=lambda p: bound(*p))  # the most promising pair is taken next
