@@ -90,8 +90,7 @@ def panel_full_stats(spark, d):
     "panel_order_stats",
     f"""SELECT id, grp, CAST(o AS INT) AS o, value FROM (
             SELECT id, grp, row_number() OVER (PARTITION BY id, grp ORDER BY value) - 1 AS o, value
-            FROM dense WHERE grp IN ({', '.join(map(str, SIX))}))
-        WHERE value > 0""",
+            FROM dense WHERE grp IN ({', '.join(map(str, SIX))}))""",
 )
 def panel_order_stats(spark, d):
     ordered = F.transform(
@@ -102,7 +101,6 @@ def panel_order_stats(spark, d):
         X.panel(spark, d)
         .select("id", F.inline(ordered))
         .select("id", "grp", F.posexplode("v").alias("o", "value"))
-        .where("value > 0")
     )
 
 
@@ -161,14 +159,16 @@ _DIGITS = """
 
 @query(
     "panel_digit_histogram",
-    f"""WITH h AS ({_DIGITS}) SELECT id, dpos, digit, n FROM h""",
+    f"""WITH h AS ({_DIGITS})
+        SELECT i.id, CAST(p.range AS INT) AS dpos, CAST(g.range AS INT) AS digit, coalesce(h.n, 0) AS n
+        FROM (SELECT DISTINCT id FROM cells) i CROSS JOIN range(7) p CROSS JOIN range(10) g
+        LEFT JOIN h ON h.id = i.id AND h.dpos = p.range AND h.digit = g.range""",
 )
 def panel_digit_histogram(spark, d):
     return (
         X.text_panel(spark, d)
         .select("id", F.posexplode(P.digit_histogram(F.flatten("cells"))).alias("dpos", "h"))
         .select("id", "dpos", F.posexplode("h").alias("digit", "n"))
-        .where("n > 0")
         .withColumn("n", F.col("n").cast("bigint"))
     )
 
