@@ -204,13 +204,12 @@ _REPAIRED = f"""
     FROM ({_REPAIR})"""
 
 
-@query("panel_repair_values", f"SELECT id, grp, pos, fixed, CAST(factor AS INT) AS factor FROM ({_REPAIRED}) WHERE factor <> 1 OR txt <> fixed")
+@query("panel_repair_values", f"SELECT id, grp, pos, fixed, CAST(factor AS INT) AS factor FROM ({_REPAIRED})")
 def panel_repair_values(spark, d):
     return (
         X.text_panel(spark, d)
         .select("id", F.posexplode("cells").alias("grp", "c"))
         .select("id", "grp", F.posexplode(P.repair_cells(F.col("c"))).alias("pos", "r"))
-        .where("r.factor <> 1")
         .select("id", "grp", "pos", F.col("r.text").alias("fixed"), "r.factor")
     )
 

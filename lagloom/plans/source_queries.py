@@ -61,7 +61,7 @@ def sink_tsv(spark, d):
     return scans.scan_tsv(spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
-@query("scan_raw_text_cells", "SELECT CAST(id AS VARCHAR) AS id, grp, pos, txt FROM text_cells WHERE txt <> '0' AND txt <> '0.0'")
+@query("scan_raw_text_cells", "SELECT CAST(id AS VARCHAR) AS id, grp, pos, txt FROM text_cells")
 def scan_raw_text_cells(spark, d):
     names = [f"g{g}_p{p}" for g in range(X.GROUPS) for p in range(X.POSITIONS)]
     flat = X.text_panel(spark, d).select("id", F.flatten("cells").alias("c"))
@@ -70,7 +70,6 @@ def scan_raw_text_cells(spark, d):
     rows = scans.scan_raw_text_cells(spark, path, ["id", *names], keep=1)
     return (
         rows.select("id", F.posexplode("cells").alias("k", "txt"))
-        .where(~F.col("txt").isin("0", "0.0"))
         .select("id", F.floor(F.col("k") / X.POSITIONS).cast("int").alias("grp"), (F.col("k") % X.POSITIONS).alias("pos"), "txt")
     )
 
