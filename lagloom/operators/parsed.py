@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from lagloom.functions.arrays import let
 from lagloom.operators.lookup import lookup
 from lagloom.operators.spans import span_rows
-from lagloom.session import cut_lineage
+from lagloom.session import cut_lineage, discard
 
 # Dependency labels skipped in a name, and the 29 encoded (span, label) pairs.
 SKIPPED_DEPS = ("compound", "punct")
@@ -117,7 +117,8 @@ def tree_depths(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
     """Steps from each wanted token up to its root: ``doc_id, role, tok, depth, root``.
 
     Pointer doubling over the wanted tokens' sentences: after k joins a pointer has moved 2**k
-    steps, so their number grows with the logarithm of the depth and no depth is cut off.
+    steps, so their number grows with the logarithm of the depth and no depth is cut off. A token
+    that leads into a cycle of heads has no root: depth and root are NULL.
     ``(doc_id, tok)`` is unique, so no join key is hot.
     """
     def doubled(jump: DataFrame) -> DataFrame:
@@ -134,12 +135,15 @@ def tree_depths(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
             "doc_id", "tok", F.col("head_tok").alias("up"), step.alias("depth")
         )
     )
-    moving = True
-    while moving:
-        jump = cut_lineage(doubled(doubled(jump)))
-        moving = jump.where("_moved").limit(1).count() > 0
+    longest = tokens.groupBy("doc_id", "sent").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    moving, steps = True, 1
+    while moving and steps < 4 * longest:  # one round past the longest sentence: what moves then is on a cycle
+        last, jump = jump, cut_lineage(doubled(doubled(jump)))
+        discard(last)
+        moving, steps = jump.where("_moved").limit(1).count() > 0, 4 * steps
+    ends = F.when(~F.col("_moved"), F.col("depth")).alias("depth"), F.when(~F.col("_moved"), F.col("up")).alias("root")
     return wanted.select("doc_id", "role", "tok").join(
-        jump.select("doc_id", "tok", "depth", F.col("up").alias("root")), ["doc_id", "tok"]
+        jump.select("doc_id", "tok", *ends), ["doc_id", "tok"]
     )
 
 

@@ -180,3 +180,11 @@ def test_starred_text_equals_star_by_star_rewriting(spark, seed):
     terms = spark.createDataFrame([(i, t) for i, t in enumerate(vocab)], "ord int, term string")
     got = D.normalise_starred_text(spark.createDataFrame(texts, "doc_id int, text string"), terms)
     assert {r.doc_id: r.text for r in got.collect()} == {i: rewrite(t, vocab) for i, t in texts}
+
+
+def test_a_cycle_of_heads_has_no_depth(spark):
+    from lagloom.operators.parsed import tree_depths
+
+    tokens = spark.createDataFrame([(1, 0, 0, 1), (1, 0, 1, 0), (1, 1, 2, 2), (1, 1, 3, 2), (1, 1, 4, 3)], "doc_id int, sent int, tok int, head_tok int")
+    wanted = spark.createDataFrame([(1, "a", 0, 0), (1, "b", 4, 1), (1, "p", 2, 1)], "doc_id int, role string, tok int, sent int")
+    assert {(r.role, r.depth, r.root) for r in tree_depths(tokens, wanted).collect()} == {("a", None, None), ("b", 2, 2), ("p", 0, 2)}
