@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagloom.operators.lookup import lookup
 from lagloom.operators.metrics import class_rate
 
 
@@ -41,8 +42,8 @@ def blend_weights(scores: dict[str, float], base: float) -> dict[str, float]:
 
 def blend_weighted(members: DataFrame, weights: DataFrame, cols: list[str]) -> DataFrame:
     """Weighted sum of member predictions per id. ``members``: ``member, id, cols``; ``weights``:
-    ``member, weight``, one row per member."""
-    joined = members.join(weights, "member")
+    ``member, weight``, one row per member, written out so that the predictions stay in place."""
+    joined = lookup(members, weights, "member", "inner", measure=True)
     return joined.groupBy("id").agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in cols])
 
 

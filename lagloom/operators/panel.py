@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lagloom.functions import arrays as A
 from lagloom.functions import numbers as N
 from lagloom.operators.lookup import lookup
-from lagloom.session import widen
+from lagloom.session import cut_lineage, widen
 
 DIGIT_POSITIONS = 7
 
@@ -346,13 +346,13 @@ def select_columns_by_data(
 def stats_over_selected(panel: DataFrame, columns: DataFrame) -> DataFrame:
     """``basic_stats`` over the selected columns only, one row per id.
 
-    The column list has at most one row per column of the panel, so it is sent to every task and
-    the cells stay where they are until they are combined per row.
+    The column list has at most one row per column of the panel. It is written out, so the planner
+    knows whether to send it to every task and leave the cells in place until they are combined per row.
     """
     v, nz = F.col("value"), F.col("value") != 0
     return (
         unpivot_panel(panel, ["id"])
-        .join(F.broadcast(columns.select("grp", "pos")), ["grp", "pos"])
+        .join(cut_lineage(columns.select("grp", "pos")), ["grp", "pos"])
         .groupBy("id")
         .agg(
             F.avg(F.when(nz, v)).alias("nz_mean"), F.max(F.when(nz, v)).alias("nz_max"),
@@ -367,10 +367,11 @@ def select_features_by_weight(
 ) -> DataFrame:
     """Long features ``(id, feature, value)`` without those weighing less than the threshold.
 
-    The weights have one row per feature name, which bounds what is sent to every task.
+    The list of names to drop is written out, so the planner knows its size and sends it to every task
+    only if it is small.
     """
-    low = weights.where(F.col("weight") < threshold).select("feature")
-    return features.join(F.broadcast(low), "feature", "left_anti")
+    low = cut_lineage(weights.where(F.col("weight") < threshold).select("feature"))
+    return features.join(low, "feature", "left_anti")
 
 
 def ordered_columns(columns: DataFrame, grouped: DataFrame) -> DataFrame:

@@ -392,41 +392,21 @@ def _starred_runs(texts: DataFrame) -> DataFrame:
 def join_wildcard(stars: DataFrame, vocab: DataFrame) -> DataFrame:
     """``star, term``: the first vocabulary term (by ``ord``) of equal length with '*' for any letter.
 
-    Every such term has at least two letters. Both sides meet on the length and on the places and
-    letters of the first and the last of them, an equi-join that leaves few candidates; the
-    remaining letters are compared on those.
+    A term is offered once per mask (places of the stars) that occurs at its length, with its own
+    letters starred there, so the match is equality of the whole text. The runs are written out:
+    if few they are sent to the offers, if many both sides are shuffled, and a hot length or run can be split.
     """
-    chars = F.split("star", "")
-    letters = F.filter(
-        F.transform(chars, lambda c, i: F.struct(i.cast("int").alias("i"), c.alias("c"))), lambda z: z.c != "*"
+    asked = cut_lineage(stars.select("star").distinct())
+    masks = asked.select(
+        F.regexp_replace("star", "[^*]", ".").alias("mask"), F.length("star").alias("n")
+    ).distinct()
+    letters = F.zip_with(
+        F.split("term", ""), F.split("mask", ""), lambda c, m: F.when(m == "*", m).otherwise(c)
     )
-    first, last = F.get("z", F.lit(0)), F.try_element_at("z", F.lit(-1))
-    asked = stars.select("star", F.length("star").alias("n"), letters.alias("z")).select(
-        "star", "n",
-        first["i"].alias("i"), first["c"].alias("ci"), last["i"].alias("j"), last["c"].alias("cj"),
-    )
-    places = F.transform(F.split("term", ""), lambda c, i: F.struct(i.cast("int").alias("i"), c.alias("c")))
-    pairs = let(
-        places,
-        lambda a: F.flatten(
-            F.transform(
-                a,
-                lambda x: F.transform(
-                    F.filter(a, lambda y: y.i > x.i),
-                    lambda y: F.struct(x.i.alias("i"), x.c.alias("ci"), y.i.alias("j"), y.c.alias("cj")),
-                ),
-            )
-        ),
-    )
-    offered = vocab.select("term", "ord", F.length("term").alias("n"), F.inline(pairs))
-    pattern = F.replace("star", F.lit("*"), F.lit("_"))
-    fits = F.call_function("like", F.col("term"), pattern)
-    return (
-        asked.join(offered, ["n", "i", "ci", "j", "cj"])
-        .where(fits)
-        .groupBy("star")
-        .agg(F.min_by("term", "ord").alias("term"))
+    offered = vocab.select("term", "ord", F.length("term").alias("n")).join(masks, "n").select(
+        F.array_join(letters, "").alias("star"), "term", "ord"
     )
+    return offered.join(asked, "star", "left_semi").groupBy("star").agg(F.min_by("term", "ord").alias("term"))
 
 
 def normalise_starred_text(texts: DataFrame, vocab: DataFrame) -> DataFrame:

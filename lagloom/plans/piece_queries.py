@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lagloom.operators import events as E
 from lagloom.operators import wordpieces as W
 from lagloom.operators.compression import pair_compression_distance as ncd
 from lagloom.plans import fixtures as X
 from lagloom.plans.registry import query
+from lagloom.plans.source_queries import _folder
+from lagloom.sources import scans
 
 SPECIAL = [W.UNKNOWN, W.CLS, W.SEP, W.MASK]
 CHARS = list("abcdefghijklmnopqrstuvwxyz0123456789.,;:!?-'\"()")
@@ -24,7 +25,7 @@ def vocab(spark, d):
         F.explode(F.array("w", F.concat(F.lit("##"), F.right("w", F.lit(3))))).alias("term")
     )
     fixed = SPECIAL + CHARS + [f"##{c}" for c in CHARS if c.isalnum()]
-    base = X.read(spark, d, "benchmark").select(F.explode(F.array(*[F.lit(t) for t in fixed])).alias("term"))
+    base = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in fixed])).alias("term"))
     return from_words.unionByName(base).distinct()
 
 
@@ -116,9 +117,11 @@ def token_window(spark, d):
         FROM pos JOIN nums USING (term) GROUP BY doc_id, role""",
 )
 def token_ids(spark, d):
-    terms = vocab(spark, d)
+    path = _folder(spark, "pieces")
+    vocab(spark, d).orderBy("term").write.text(path)
+    terms = scans.scan_vocab(spark, path, filtered=False)
     rows = W.token_window(X.spans(spark, d), terms, LENGTH)
-    ids = W.token_ids(rows, ["doc_id", "role"], E.dense_codes(terms, "term", "ord"), LENGTH)
+    ids = W.token_ids(rows, ["doc_id", "role"], terms, LENGTH)
     return ids.select("doc_id", "role", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 

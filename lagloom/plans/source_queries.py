@@ -127,14 +127,15 @@ def scan_annotations(spark, d):
 
 @query(
     "scan_vocab",
-    r"""SELECT DISTINCT w AS term FROM (SELECT unnest(regexp_split_to_array(text, '[ \n]+')) AS w FROM benchmark)
-        WHERE length(w) >= 3 AND NOT regexp_matches(w, '[\[#0-9]')""",
+    r"""SELECT term, ord FROM (SELECT w AS term, row_number() OVER (ORDER BY w) - 1 AS ord
+            FROM (SELECT DISTINCT unnest(regexp_split_to_array(text, '[ \n]+')) AS w FROM benchmark))
+        WHERE length(term) >= 3 AND NOT regexp_matches(term, '[\[#0-9]')""",
 )
 def scan_vocab(spark, d):
     path = _folder(spark, "vocab")
     words = X.read(spark, d, "benchmark").select(F.explode(F.split("text", "[ \\n]+")).alias("term")).distinct()
-    words.write.text(path)
-    return scans.scan_vocab(spark, path).select("term")
+    words.orderBy("term").write.text(path)
+    return scans.scan_vocab(spark, path)
 
 
 @query("sink_sorted_table", _ALL)

@@ -9,7 +9,7 @@ from lagloom.operators import events as E
 from lagloom.operators import parsed as D
 from lagloom.operators import spans as S
 from lagloom.plans import fixtures as X
-from lagloom.plans.registry import query
+from lagloom.plans.registry import ORACLES, query
 
 
 def _features(spark, d, columns: dict):
@@ -442,32 +442,41 @@ def normalise_starred_text(spark, d):
     return D.normalise_starred_text(X.starred(spark, d), _vocab(spark, d))
 
 
+# The feature groups next to each other: parts with a query of their own are checked by that query's SQL.
+_PARTS = (
+    "span_url_features", "span_position_features", "span_sentence_features", "span_frequency_features", "coref_name_match",
+    "syntactic_onehot", "deptree_features", "other_person_entities", "cluster_membership", "join_mention_pairs",
+    "cluster_membership_by_parts", "heuristic_sieve",
+)
+
+
 @query(
     "feature_assembly",
-    f"""WITH {_HEADS}
-        SELECT s.doc_id, coalesce(CAST(m.coref = m.a AS INT), 0) AS coref_a, coalesce(CAST(m.coref = m.b AS INT), 0) AS coref_b,
-               CAST(contains({_TITLE}, lower(s.a)) AS INT) AS a_in_url, CAST(contains({_TITLE}, lower(s.b)) AS INT) AS b_in_url,
-               CAST(s.a_off < s.p_off AS INT) AS a_then_pronoun, abs(s.p_off - s.b_off) AS b_dist,
-               {_count('s.a').replace('text', 's.text')} AS freq_a,
-               (SELECT count(*) FROM entities e WHERE e.doc_id = s.doc_id AND e.label = 'PERSON' AND e.ent_text <> s.a AND e.ent_text <> s.b) AS named_ent,
-               g.a_coref AS ext_a
-        FROM spans s JOIN matched m ON m.doc_id = s.doc_id LEFT JOIN gold g ON g.id = s.doc_id""",
+    "SELECT s.doc_id, COLUMNS(* EXCLUDE (doc_id, coref, parts_neither, answer, id, label)), "
+    "CAST(answer = 'A' AS INT) AS gap_a, CAST(answer = 'B' AS INT) AS gap_b FROM (SELECT doc_id FROM spans) s "
+    + " ".join(f"LEFT JOIN ({ORACLES[name]}) {name} USING (doc_id)" for name in _PARTS)
+    + " LEFT JOIN predictions ON predictions.id = s.doc_id",
 )
 def feature_assembly(spark, d):
-    spans = X.spans(spark, d)
-    row_local = spans.select(
-        "doc_id",
-        *[c.alias(n) for n, c in S.url_features().items()],
-        *[c.alias(n) for n, c in S.position_features().items() if n in ("a_then_pronoun", "b_dist")],
-        S.frequency_features()["freq_a"].alias("freq_a"),
-    )
-    external = X.gold(spark, d).select(F.col("id").alias("doc_id"), F.col("a_coref").alias("ext_a"))
+    """69 columns: 56 of the text and its parse, 13 of other systems (clusters and scores 6, sieve 2, parts 2, probabilities 3)."""
+    spans, mentions, tokens = X.spans(spark, d), X.mentions(spark, d), X.tokens(spark, d)
+    answer = D.heuristic_sieve(list(_choices().values()))
+    row_local = {
+        **S.url_features(), **S.position_features(), **S.sentence_features(), **S.frequency_features(),
+        "gap_a": (answer == "A").cast("int"), "gap_b": (answer == "B").cast("int"),
+    }
+    depths = D.deptree_features(tokens, spans)
     return D.assemble(
-        row_local,
+        spans.select("doc_id", *[c.alias(n) for n, c in row_local.items()]),
         [
             D.coref_name_match(_heads(spark, d), spans).drop("coref"),
+            D.syntactic_onehot(tokens, spans),
+            depths.select("doc_id", *[F.round(c, 6).alias(c) for c in depths.columns if c != "doc_id"]),
             D.other_person_entities(X.entities(spark, d), spans),
-            external,
+            D.cluster_membership(mentions, spans),
+            D.join_mention_pairs(mentions, X.antecedents(spark, d), spans),
+            D.cluster_membership_by_parts(mentions, spans).drop("parts_neither"),
+            X.predictions(spark, d).select(F.col("id").alias("doc_id"), "p0", "p1", "p2"),
         ],
     )
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lagloom.functions.text import parse_bool_text
+from lagloom.operators.lookup import lookup
+from lagloom.session import cut_lineage
 
 # Annotation columns in file order.
 GOLD_FIELDS = (
@@ -72,15 +74,21 @@ def scan_annotations(spark: SparkSession, path: str, is_gold: bool) -> DataFrame
 
 
 def scan_vocab(spark: SparkSession, path: str, filtered: bool = True) -> DataFrame:
-    """One term per line: ``term, ord``, in line order.
+    """One term per line: ``term, ord``, where ``ord`` is the number of the line from 0, files in order of their path.
 
-    ``filtered`` drops terms of fewer than three characters and those with '[', '#' or a digit.
-    ``ord`` grows with the line; it has gaps where the file has several splits.
+    ``filtered`` drops terms of fewer than three characters and those with '[', '#' or a digit; the others keep
+    their numbers. Lines are numbered inside each split and the sizes of the earlier splits are added; they are
+    written out first, so both uses see the same splits.
     """
-    lines = spark.read.text(path).select(
-        F.btrim("value").alias("term"),
-        F.struct(F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("line")).alias("ord"),
+    split = ["file", "block"]
+    lines = cut_lineage(
+        spark.read.text(path).select(
+            F.btrim("value").alias("term"), F.input_file_name().alias("file"),
+            F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("line"),
+        )
     )
-    if not filtered:
-        return lines
-    return lines.where((F.length("term") >= 3) & ~F.col("term").rlike(r"[\[#0-9]"))
+    sizes = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*split, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    kept = lines.where((F.length("term") >= 3) & ~F.col("term").rlike(r"[\[#0-9]")) if filtered else lines
+    return lookup(kept, starts, split, "inner", measure=True).select("term", (F.col("line") + F.col("shift")).alias("ord"))

@@ -188,3 +188,15 @@ def test_a_cycle_of_heads_has_no_depth(spark):
     tokens = spark.createDataFrame([(1, 0, 0, 1), (1, 0, 1, 0), (1, 1, 2, 2), (1, 1, 3, 2), (1, 1, 4, 3)], "doc_id int, sent int, tok int, head_tok int")
     wanted = spark.createDataFrame([(1, "a", 0, 0), (1, "b", 4, 1), (1, "p", 2, 1)], "doc_id int, role string, tok int, sent int")
     assert {(r.role, r.depth, r.root) for r in tree_depths(tokens, wanted).collect()} == {("a", None, None), ("b", 2, 2), ("p", 0, 2)}
+
+
+def test_wildcard_with_very_long_terms_and_many_alike(spark):
+    """A term of 20,000 letters, and 100,000 terms that share length, first and last letter."""
+    long = "a" + "bc" * 9_999 + "z"
+    alike = spark.range(100_000).select(F.concat(F.lit("a"), F.lpad(F.conv("id", 10, 26), 5, "0"), F.lit("z")).alias("term"))
+    vocab = alike.unionByName(spark.createDataFrame([(long,)], "term string")).withColumn("ord", F.col("term"))
+    stars = spark.createDataFrame([("a0000**",), ("*0000**",), ("a***0*z",), (long.replace("b", "*"),), ("a******",), ("b***0*z",)], "star string")
+    got = {r.star: r.term for r in D.join_wildcard(stars, vocab).collect()}
+    assert got == {
+        "a0000**": "a00000z", "*0000**": "a00000z", "a***0*z": "a00000z", "a******": "a00000z", long.replace("b", "*"): long,
+    }

@@ -155,10 +155,25 @@ def test_vocabulary_file_keeps_order_and_drops_short_terms(spark, tmp_path):
     path = tmp_path / "vocab.txt"
     path.write_text("[CLS]\nzeta\nab\n##ing\nabc\nh2o\n")
     terms = scans.scan_vocab(spark, str(path)).orderBy("ord")
-    assert [r.term for r in terms.collect()] == ["zeta", "abc"]
+    assert [(r.term, r.ord) for r in terms.collect()] == [("zeta", 1), ("abc", 4)]
     assert scans.scan_vocab(spark, str(path), filtered=False).count() == 6
 
 
+def test_vocabulary_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    lines = [f"w{i:05d}" for i in range(3000)]
+    for k in range(3):
+        (tmp_path / f"{k}.txt").write_text("".join(f"{w}\n" for w in lines[1000 * k : 1000 * (k + 1)]))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        vocab = scans.scan_vocab(spark, str(tmp_path), filtered=False)
+        assert [(r.ord, r.term) for r in vocab.orderBy("ord").collect()] == list(enumerate(lines))
+        rows = spark.createDataFrame([(1, ["w02999", "w00000", "w01000"])], "id long, tokens array<string>")
+        assert W.token_ids(rows, ["id"], vocab).first().ids == [2999, 0, 1000]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_sorted_table_is_in_order_over_its_files(spark, tmp_path):
     df = spark.createDataFrame([(i % 50, str(i)) for i in range(500)], "id long, v string").repartition(5)
     sinks.sink_sorted_table(df, f"{tmp_path}/s", "id")

@@ -105,3 +105,7 @@ def test_small_measured_dim_leaves_the_probe_in_place(spark):
     dim = probe.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     text = plan(lookup(probe, dim, "k", measure=True))
     assert "BroadcastHashJoin" in text and not re.search(r"^\(\d+\) Exchange", text, re.M)
+
+
+def test_assembled_features_are_all_there(spark):
+    assert len(entry.queries()["feature_assembly"](spark, SF).columns) == 1 + 69
