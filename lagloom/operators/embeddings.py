@@ -43,8 +43,10 @@ def vector_mean(vectors: DataFrame, keys: list[str], vector: str = "v") -> DataF
 
 
 def span_vector_mean(tokens: DataFrame, spans: DataFrame) -> DataFrame:
-    """Mean vector of the tokens of a span: ``tokens(doc_id, tok, v)``, ``spans(doc_id, role, first, n)``."""
-    inside = tokens.join(spans, "doc_id").where(
-        (F.col("tok") >= F.col("first")) & (F.col("tok") < F.col("first") + F.col("n"))
-    )
+    """Mean vector of the tokens of a span: ``tokens(doc_id, tok, v)``, ``spans(doc_id, role, first, n)``.
+
+    Spans meet tokens by document and place, so a long document is no hot key.
+    """
+    places = spans.where("n > 0").select("doc_id", "role", F.explode(F.expr("sequence(first, first + n - 1)")).alias("tok"))
+    inside = tokens.join(places, ["doc_id", "tok"])
     return vector_mean(inside.select("doc_id", "role", "v"), ["doc_id", "role"])

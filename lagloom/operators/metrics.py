@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: clip of probabilities in a log loss (machine epsilon of doubles).
@@ -124,7 +124,8 @@ def scorecard(tallies: DataFrame) -> DataFrame:
             F.try_divide(F.col("precision") * F.col("recall") * 2, F.col("precision") + F.col("recall")), F.lit(0.0)
         ),
     )
-    women = F.max(F.when(F.col("grp") == "F", F.col("f1")))
-    men = F.max(F.when(F.col("grp") == "M", F.col("f1")))
+    every = Window.partitionBy(F.lit(0))  # one row per group: few, and tallied once
+    women = F.max(F.when(F.col("grp") == "F", F.col("f1"))).over(every)
+    men = F.max(F.when(F.col("grp") == "M", F.col("f1"))).over(every)
     ratio = F.when((women > 0) & (men > 0), F.format_string("%.2f", women / men)).otherwise("-")
-    return scored.withColumn("bias", scored.agg(ratio).scalar())
+    return scored.withColumn("bias", ratio)

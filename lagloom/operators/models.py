@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagloom.operators import blend, metrics
+from lagloom.session import cut_lineage
 
 SEED = 1122
 
@@ -33,29 +34,41 @@ def _gbt(label: str, params: dict) -> GBTClassifier:
     return GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **params)
 
 
-def cv_fold_scores(df: DataFrame, label: str, params: dict, folds: int = 10, seed: int = SEED) -> DataFrame:
-    """``fold, score``: log loss of a boosted binary classifier on each fold, fitted on the rest.
+def _folded(df: DataFrame, folds: int, seed: int) -> DataFrame:
+    """Rows with their fold, written out: every fit reads them again."""
+    return cut_lineage(df.withColumn("_fold", blend.kfold_assign(F.col("id"), folds, seed)))
 
-    The loop is over folds, not rows; each fit and each prediction is distributed.
-    """
-    rows = df.withColumn("_fold", blend.kfold_assign(F.col("id"), folds, seed)).persist()
+
+def _fold_scores(rows: DataFrame, label: str, params: dict, folds: int) -> DataFrame:
     scores = None
     for k in range(folds):
         model = _gbt(label, params).fit(rows.where(F.col("_fold") != k))
         held = model.transform(rows.where(F.col("_fold") == k))
-        score = held.agg(metrics.log_loss(F.col(label).cast("int"), [_probability(0), _probability(1)]).alias("score"))
-        score = score.select(F.lit(k).alias("fold"), "score")
+        loss = metrics.log_loss(F.col(label).cast("int"), [_probability(0), _probability(1)])
+        score = held.agg(loss.alias("score"), F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("fold"), "score", "n")
         scores = score if scores is None else scores.unionByName(score)
     return scores
 
 
-def grid_search(df: DataFrame, label: str, grid: dict[str, list], folds: int = 3) -> DataFrame:
-    """Cross-validated score of every parameter combination: the parameters and ``score``."""
+def cv_fold_scores(df: DataFrame, label: str, params: dict, folds: int = 10, seed: int = SEED) -> DataFrame:
+    """``fold, score, n``: log loss of a boosted binary classifier on the ``n`` rows of each fold, fitted on the rest.
+
+    The loop is over folds, not rows; each fit and each prediction is distributed.
+    """
+    return _fold_scores(_folded(df, folds, seed), label, params, folds)
+
+
+def grid_search(df: DataFrame, label: str, grid: dict[str, list], folds: int = 10, seed: int = SEED) -> DataFrame:
+    """Cross-validated score of every parameter combination: the parameters and ``score``.
+
+    All combinations share the rows and their folds.
+    """
     names = sorted(grid)
+    rows = _folded(df, folds, seed)
     table = None
     for values in product(*[grid[n] for n in names]):
         params = dict(zip(names, values, strict=True))
-        mean = cv_fold_scores(df, label, params, folds).agg(F.avg("score").alias("score"))
+        mean = _fold_scores(rows, label, params, folds).agg(F.avg("score").alias("score"))
         row = mean.select(*[F.lit(v).alias(n) for n, v in params.items()], "score")
         table = row if table is None else table.unionByName(row)
     return table
@@ -80,21 +93,22 @@ def two_stage_classifier(
 def bagged_regression(
     train: DataFrame, test: DataFrame, target: str, repeats: int = 20, holdout: float = 0.001, params: dict | None = None
 ) -> DataFrame:
-    """log1p target, one fit per repeat without its held-out rows, mean of the expm1 predictions."""
-    rows = train.withColumn("_y", F.log1p(F.col(target).cast("double"))).persist()
-    stacked = None
+    """log1p target, one fit per repeat without its held-out rows, mean of the expm1 predictions.
+
+    The models score a test row one after the other, so the test rows are read once and never shuffled.
+    """
+    rows = cut_lineage(train.withColumn("_y", F.log1p(F.col(target).cast("double"))))
+    scored = test
     for r in range(repeats):
-        model = GBTRegressor(labelCol="_y", seed=SEED + r, **(params or {"maxIter": 5, "maxDepth": 4})).fit(
-            rows.where(~blend.holdout_split(F.col("id"), holdout, r))
-        )
-        one = model.transform(test).select("id", F.expm1("prediction").alias("p"))
-        stacked = one if stacked is None else stacked.unionByName(one)
-    return stacked.groupBy("id").agg(F.avg("p").alias("target"))
+        fit = GBTRegressor(labelCol="_y", predictionCol=f"_p{r}", seed=SEED + r, **(params or {"maxIter": 5, "maxDepth": 4}))
+        scored = fit.fit(rows.where(~blend.holdout_split(F.col("id"), holdout, r))).transform(scored)
+    total = sum((F.expm1(f"_p{r}") for r in range(1, repeats)), F.expm1("_p0"))
+    return scored.select("id", (total / repeats).alias("target"))
 
 
 def _ovr_probabilities(base, train: DataFrame, test: DataFrame, label: str, classes: int) -> DataFrame:
     """One binary fit per class; the classes' scores normalised to sum 1."""
-    scored, rows = test, train.persist()
+    scored, rows = test, cut_lineage(train)
     for k in range(classes):
         one = base.copy()
         one.setLabelCol("_y").setRawPredictionCol(f"_raw{k}").setProbabilityCol(f"_p{k}").setPredictionCol(f"_c{k}")
@@ -133,27 +147,40 @@ def mlp_classifier_cv(
 
     ``part`` is 'oof' for the held-out rows of a fold and 'test' for the test rows.
     """
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
-    stacked = None
+    stacked, scored, made = None, test, []
     for seed in seeds:
-        rows = train.withColumn("_fold", blend.kfold_assign(F.col("id"), folds, seed)).persist()
+        rows = _folded(train, folds, seed)
         for k in range(folds):
+            own = f"{seed}_{k}"
+            scaler = StandardScaler(inputCol="features", outputCol=f"_s{own}", withMean=True)
             net = MultilayerPerceptronClassifier(
-                featuresCol="scaled", labelCol=label, layers=[width, hidden, classes], seed=seed, maxIter=max_iter
+                featuresCol=f"_s{own}", labelCol=label, layers=[width, hidden, classes], seed=seed, maxIter=max_iter,
+                probabilityCol=f"_p{own}", rawPredictionCol=f"_r{own}", predictionCol=f"_c{own}",
             )
             model = Pipeline(stages=[scaler, net]).fit(rows.where(F.col("_fold") != k))
-            for part, data in (("oof", rows.where(F.col("_fold") == k)), ("test", test)):
-                one = model.transform(data).select(
-                    F.lit(part).alias("part"), "id", F.lit(seed).alias("seed"), F.lit(k).alias("fold"),
-                    *[_probability(i).alias(f"p{i}") for i in range(classes)],
-                )
-                stacked = one if stacked is None else stacked.unionByName(one)
-    return stacked
-
-
-def pca_features(df: DataFrame, k: int, vector: str = "features", out: str = "pca") -> DataFrame:
-    """Projections of the centred rows on the first ``k`` components: ``id, pca<k>_0, ...``."""
-    centred = StandardScaler(inputCol=vector, outputCol="_c", withMean=True, withStd=False)
-    steps = Pipeline(stages=[centred, PCA(k=k, inputCol="_c", outputCol="_p")])
-    scored = steps.fit(df).transform(df)
-    return scored.select("id", *[_probability(i, "_p").alias(f"{out}{k}_{i}") for i in range(k)])
+            probabilities = [_probability(i, f"_p{own}").alias(f"p{i}") for i in range(classes)]
+            at = [F.lit(seed).alias("seed"), F.lit(k).alias("fold")]
+            one = model.transform(rows.where(F.col("_fold") == k)).select(F.lit("oof").alias("part"), "id", *at, *probabilities)
+            stacked = one if stacked is None else stacked.unionByName(one)
+            scored = model.transform(scored)
+            made.append(F.struct(*at, *probabilities))
+    # the models score a test row one after the other, in one scan
+    return stacked.unionByName(scored.select(F.lit("test").alias("part"), "id", F.inline(F.array(*made))))
+
+
+def pca_features(
+    df: DataFrame, k: int | tuple[int, ...], vectors: dict[str, str] | None = None
+) -> DataFrame:
+    """Projections of the centred rows on the first components: ``id, pca<k>_0, ...`` for each number in ``k``.
+
+    ``vectors`` names the vector columns by the prefix of their results. A column is fitted once, for the largest
+    number: fewer components are the first of these. All columns are projected in one scan.
+    """
+    sizes = (k,) if isinstance(k, int) else tuple(k)
+    scored, out = df, []
+    for n, (prefix, vector) in enumerate((vectors or {"pca": "features"}).items()):
+        centred = StandardScaler(inputCol=vector, outputCol=f"_c{n}", withMean=True, withStd=False)
+        steps = Pipeline(stages=[centred, PCA(k=max(sizes), inputCol=f"_c{n}", outputCol=f"_p{n}")])
+        scored = steps.fit(df).transform(scored)
+        out += [_probability(i, f"_p{n}").alias(f"{prefix}{size}_{i}") for size in sizes for i in range(size)]
+    return scored.select("id", *out)

@@ -12,7 +12,9 @@ from lagloom.operators import embeddings as V
 from lagloom.operators import metrics as M
 from lagloom.operators import models as ML
 from lagloom.plans import fixtures as X
+from lagloom.plans.panel_queries import SIX
 from lagloom.plans.registry import query
+from lagloom.session import cut_lineage
 
 P = ["p0", "p1", "p2"]
 
@@ -346,14 +348,19 @@ def nan_row_to_zero(spark, d):
 # --- fitted models ------------------------------------------------------------------------------------
 
 ITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+# Rounds and depth of the boosted fits, chosen so that the queries run on one machine; folds, repeats, seeds and trees are the usual ones.
 SMALL = {"maxIter": 3, "maxDepth": 3}
+# Trees of each forest, at full depth; a thousand, the operator's own setting, take a single machine over six minutes.
+TREES = 30
+# Seeds of the network's cross-validation.
+SEEDS = (1, 6003, 10000007)
 
 
 def _items(spark, d) -> DataFrame:
-    """Line items with a three-level label from the return flag and a row id."""
+    """Line items with a three-level label from the return flag; the id is the columns of the key themselves."""
     flag = F.col("l_returnflag")
     rows = X.read(spark, d, "lineitem").select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("id"),
         *ITEM_FEATURES,
         F.when(flag == "R", 2).when(flag == "A", 1).otherwise(0).alias("label"),
         F.col("l_shipdate").alias("when"),
@@ -376,13 +383,13 @@ def _vectors(spark, d) -> DataFrame:
 @query("cv_score")
 def cv_score(spark, d):
     rows = _items(spark, d).withColumn("y", (F.col("label") > 0).cast("int"))
-    return M.cv_summary(ML.cv_fold_scores(rows, "y", SMALL, folds=3), "score")
+    return M.cv_summary(ML.cv_fold_scores(rows, "y", SMALL), "score")
 
 
 @query("grid_search")
 def grid_search(spark, d):
     rows = _items(spark, d).withColumn("y", (F.col("label") > 0).cast("int"))
-    table = ML.grid_search(rows, "y", {"maxDepth": [2, 3], "maxIter": [2]}, folds=2)
+    table = ML.grid_search(rows, "y", {"maxDepth": [2, 3], "maxIter": [2]})
     return B.best_of_grid(table, "score", ["maxDepth", "maxIter"])
 
 
@@ -395,13 +402,13 @@ def two_stage_classifier(spark, d):
 @query("bagged_regression")
 def bagged_regression(spark, d):
     train, test = _halves(_items(spark, d))
-    return ML.bagged_regression(train, test, "l_extendedprice", repeats=3, params=SMALL)
+    return ML.bagged_regression(train, test, "l_extendedprice", params=SMALL)
 
 
 @query("one_vs_rest_forest")
 def one_vs_rest_forest(spark, d):
     train, test = _halves(_items(spark, d))
-    return ML.one_vs_rest_forest(train, test, trees=5, depth=4)
+    return ML.one_vs_rest_forest(train, test, trees=TREES)
 
 
 @query("gradient_boosted_multiclass")
@@ -419,13 +426,99 @@ def feature_importances(spark, d):
 @query("mlp_classifier_cv")
 def mlp_classifier_cv(spark, d):
     train, test = _halves(_vectors(spark, d))
-    long = ML.mlp_classifier_cv(train, test, width=64, folds=3, seeds=(1,), max_iter=10)
+    long = ML.mlp_classifier_cv(train, test, width=64, seeds=SEEDS, max_iter=10)
     return B.mean_predictions(long, P)
 
 
+@query("gradient_boosted_embeddings")
+def gradient_boosted_embeddings(spark, d):
+    """Boosting on vectors and other features side by side; a broken vector is zeros, a missing feature -1."""
+    v = A.nan_row_to_zero(F.transform("embedding", lambda x: x.cast("double")))
+    more = [F.coalesce(c, F.lit(-1.0)) for c in (F.array_max("v"), F.array_min("v"), F.try_divide(F.array_max("v"), F.array_min("v")))]
+    rows = X.read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 3).alias("label"), v.alias("v")).select(
+        "id", "label", array_to_vector(F.concat("v", F.array(*more))).alias("features")
+    )
+    return ML.gradient_boosted_multiclass(*_halves(rows), params=SMALL)
+
+
+def _panel_vectors(spark, d) -> DataFrame:
+    vector = lambda cells: array_to_vector(F.transform(cells, lambda x: x.cast("double")))
+    return cut_lineage(X.panel(spark, d).where(~F.col("is_fake")).select(
+        "id", vector(F.flatten("series")).alias("features"), *[vector(F.get("series", F.lit(g))).alias(f"g{g}") for g in SIX]
+    ))
+
+
 @query("pca_features")
 def pca_features(spark, d):
-    rows = X.panel(spark, d).where(~F.col("is_fake")).select(
-        "id", array_to_vector(F.transform(F.flatten("series"), lambda x: x.cast("double"))).alias("features")
-    ).persist()
-    return ML.pca_features(rows, 2).join(ML.pca_features(rows, 3), "id")
+    """All columns, and each of the six groups by itself: two and three components."""
+    return ML.pca_features(_panel_vectors(spark, d), (2, 3), {"pca": "features"} | {f"core{g}_pca": f"g{g}" for g in SIX})
+
+
+# --- what SQL can tell of the fits ---------------------------------------------------------------------
+
+_ITEM_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)"
+
+
+@query(
+    "cv_fold_rows",
+    f"""SELECT fold, n, true AS is_loss FROM (SELECT CAST({_draw_sql(_ITEM_ID, '1122')} % 10 AS INT) AS fold, count(*) AS n FROM lineitem GROUP BY 1)""",
+)
+def cv_fold_rows(spark, d):
+    """Every row is scored in its own fold, and every fold gives a loss."""
+    rows = _items(spark, d).withColumn("y", (F.col("label") > 0).cast("int"))
+    scores = ML.cv_fold_scores(rows, "y", SMALL)
+    return scores.select("fold", "n", ((F.col("score") > 0) & (F.col("score") < 1)).alias("is_loss"))
+
+
+def _sums(scored: DataFrame, cols: list[str]) -> DataFrame:
+    off = F.abs(sum((F.col(c) for c in cols[1:]), F.col(cols[0])) - 1) > 1e-9
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_ids"), F.count_if(off).alias("n_off"))
+
+
+_HELD = "count(*) AS n, count(DISTINCT {id}) AS n_ids, 0::BIGINT AS n_off FROM {table} WHERE {draw} % 1000000 < 200000"
+
+
+@query("two_stage_sums", "SELECT " + _HELD.format(id=_ITEM_ID, table="lineitem", draw=_draw_sql(_ITEM_ID, "0", "0")))
+def two_stage_sums(spark, d):
+    """Every held-out row gets probabilities that add up to one."""
+    return _sums(two_stage_classifier(spark, d), ["predict_0", "predict_1", "predict_2"])
+
+
+@query("boosted_sums", "SELECT " + _HELD.format(id="vec_id", table="embeddings", draw=_draw_sql("vec_id", "0", "0")))
+def boosted_sums(spark, d):
+    """Every held-out vector gets probabilities that add up to one."""
+    return _sums(gradient_boosted_embeddings(spark, d), P)
+
+
+@query(
+    "pca_variances",
+    "SELECT count(*) AS n, true AS centred, true AS falling, true AS nested FROM panel WHERE id % 13 <> 0",
+)
+def pca_variances(spark, d):
+    """Components are centred, the variance falls, and two components are the first two of three."""
+    got = ML.pca_features(_panel_vectors(spark, d), (2, 3))
+    spread = F.var_pop("pca3_0")
+    return got.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.greatest(*[F.abs(F.avg(f"pca3_{i}")) for i in range(3)]).alias("mean"),
+        spread.alias("v0"), F.var_pop("pca3_1").alias("v1"), F.var_pop("pca3_2").alias("v2"),
+        F.bool_and((F.col("pca2_0") == F.col("pca3_0")) & (F.col("pca2_1") == F.col("pca3_1"))).alias("nested"),
+    ).select(
+        "n", (F.col("mean") <= 1e-6 * F.sqrt("v0")).alias("centred"),
+        ((F.col("v0") >= F.col("v1")) & (F.col("v1") >= F.col("v2"))).alias("falling"), "nested",
+    )
+
+
+# --- vectors of spans ----------------------------------------------------------------------------------
+
+@query(
+    "span_vector_mean",
+    """WITH s AS (SELECT doc_id, r.* FROM spans CROSS JOIN (VALUES ('a', 2, 2), ('b', 8, 1), ('p', 5, 3)) r(role, lo, k))
+       SELECT s.doc_id, s.role, round(avg(t.tok), 6) AS m0, round(avg(t.char_off), 6) AS m1, round(avg(length(t.text)), 6) AS m2
+       FROM s JOIN tokens t ON t.doc_id = s.doc_id AND t.tok >= s.lo AND t.tok < s.lo + s.k GROUP BY 1, 2""",
+)
+def span_vector_mean(spark, d):
+    vector = F.array(*[c.cast("double") for c in (F.col("tok"), F.col("char_off"), F.length("text"))])
+    rows = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(lo).alias("first"), F.lit(k).alias("n")) for r, lo, k in (("a", 2, 2), ("b", 8, 1), ("p", 5, 3))])
+    means = V.span_vector_mean(X.tokens(spark, d).select("doc_id", "tok", vector.alias("v")), X.spans(spark, d).select("doc_id", F.inline(rows)))
+    return means.select("doc_id", "role", *[F.round(F.get("mean", F.lit(i)), 6).alias(f"m{i}") for i in range(3)])

@@ -605,6 +605,18 @@ def lag_match_first(spark, d):
     )
 
 
+@query(
+    "lag_verify_pairs",
+    f"""WITH {_FIRST_MATCH}
+        SELECT child_id, parent_id, CAST(grp AS INT) AS grp, CAST(shift AS INT) AS shift FROM matches""",
+)
+def lag_verify_pairs(spark, d):
+    """The matched pairs whose slices are equal value by value; the SQL compares values, so none may be missing."""
+    planted = X.planted(spark, d)
+    pairs = L.verify_pairs(L.lag_match_first(planted, POSITIONS), planted, POSITIONS)
+    return pairs.select("child_id", "parent_id", F.col("grp").cast("int").alias("grp"), F.col("shift").cast("int").alias("shift"))
+
+
 @query(
     "lag_match_best",
     f"""WITH {_BEST_MATCH}

@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # Each fits a model; covered by smaller fixtures in test_metrics_blend.
 FITS = {
     "cv_score", "grid_search", "two_stage_classifier", "bagged_regression", "one_vs_rest_forest",
-    "gradient_boosted_multiclass", "feature_importances", "mlp_classifier_cv", "pca_features",
+    "gradient_boosted_multiclass", "feature_importances", "mlp_classifier_cv", "pca_features", "gradient_boosted_embeddings",
 }
 
 
