@@ -37,6 +37,9 @@ HEADLINE = [
     "embedding_assemble",
     "blend_weighted",
     "pair_compression_distance",
+    "bitmask_sum",
+    "scan_jsonl_nested",
+    "feature_assembly",
 ]
 
 
