@@ -10,8 +10,10 @@ share it. Three passes over the documents, dealt out once by id, use this:
    with a sample at the end of each, and every context is streamed backwards through the runs. The row of a string of
    LENGTH bytes names the interval of equal strings, and the interval the smallest document.
 
-Marks return to their documents and are joined to maximal runs there. An anchor with more contexts than a block holds is
-split by the content of each string, so blocks are bounded whatever is repeated.
+Marks return to their documents and are joined to maximal runs there. A hot anchor, one of HOT contexts or more as a sample
+of the documents tells beforehand, is not sent whole: its strings go one by one, each to the part its content names, those
+a task saw before in a smaller document as a mark. The sample decides the way only; a hot anchor it misses is split in its
+task, bucket by bucket.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ CHUNK, POSITION = 1 << 17, 18  # strings hashed at once, and bits that hold a pl
 SLICE = 4 << 20  # bytes of texts looked at together
 BLOCK = 1 << 20  # bytes of contexts indexed together
 SEEN = 1 << 17  # contexts a task remembers
+HOT, SAMPLED = 1 << 14, 16  # contexts of an anchor that goes string by string, estimated from one document in so many
 
 
 def anchors(buf: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -187,13 +190,36 @@ def _per_part(batches: Iterator[pa.RecordBatch], names: list[str], found) -> Ite
         yield from found(rows)
 
 
-def _send_contexts(parts: int):
-    """Contexts of repeated anchors, one per task and content, and marks of those seen before in a smaller document."""
+def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, n): per anchor of a slice how many contexts differ."""
+    for batch in slices(batches, "text", SLICE):
+        buf, ends = _joined(raw(batch.column("text")))
+        _, h, first, last = anchors(buf, ends)
+        own, at, count = np.unique(h, return_inverse=True, return_counts=True)
+        data, several = buf.tobytes(), np.flatnonzero(count[at] > 1)
+        count[:] = 1
+        differ = {(k, data[a : b + LENGTH]) for k, a, b in zip(at[several].tolist(), first[several].tolist(), last[several].tolist(), strict=True)}
+        count += np.maximum(np.bincount(np.array([k for k, _ in differ], dtype=np.int64), minlength=len(own)) - 1, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(count.astype(np.int64))], ["hash", "n"])
+
+
+def hot_anchors(docs: DataFrame) -> np.ndarray:
+    """Hashes of anchors with some HOT contexts or more; there are at most as many as bytes / HOT."""
+    some = docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLED)) == 0))
+    counts = some.mapInArrow(_count_contexts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    hot = counts.where(F.col("n") * SAMPLED >= HOT).select("hash").collect()
+    return np.sort(np.array([r.hash for r in hot], dtype=np.int64).view(np.uint64))
+
+
+def _send_contexts(parts: int, hot: np.ndarray):
+    """Contexts of repeated anchors, one per task and content, and marks of those seen before in a smaller document; of
+    ``hot`` anchors the strings, likewise."""
     names = ["part", "hash", "doc", "place", "size", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=6)
         seen: dict[bytes, int] = {}
+        seen_strings: dict[bytes, int] = {}
         for batch in slices(_named(batches, "places"), "text", SLICE):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             dup = batch.column("dup").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -212,16 +238,32 @@ def _send_contexts(parts: int):
             data, starts = buf.tobytes(), ends - np.array([len(v) for v in values])
             if len(seen) > SEEN:
                 seen.clear()
-            sent, marks = [], []
-            for i, t, a, b in zip(chosen.tolist(), text[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), strict=True):
+            sent, strings, marks = [], [], []
+            whole = ~np.isin(h[chosen], hot)
+            for i, t, a, b, keep in zip(chosen.tolist(), text[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), whole.tolist(), strict=True):
                 context = data[a : b + LENGTH]
                 doc = int(ids[t])
                 low = seen.setdefault(context, doc)
                 place = a - int(starts[t]) | int(dup[t]) << DUP
                 if low < doc:
                     marks.append((doc, place, b - a + LENGTH))
-                else:
+                elif keep:
                     sent.append((i, doc, place, context))
+                else:
+                    if len(seen_strings) > SEEN:
+                        seen_strings.clear()
+                    since = None  # where a run of strings seen before begins
+                    for k in range(b - a + 1):
+                        string = context[k : k + LENGTH]
+                        if seen_strings.setdefault(string, doc) < doc:
+                            since = k if since is None else since
+                            continue
+                        strings.append((string, doc, place + k))
+                        if since is not None:
+                            marks.append((doc, place + since, k - 1 - since + LENGTH))
+                            since = None
+                    if since is not None:
+                        marks.append((doc, place + since, b - a - since + LENGTH))
             if sent:
                 h_sent = h[np.array([s[0] for s in sent])]
                 part = (h_sent % np.uint64(parts)).astype(np.int64)
@@ -234,6 +276,17 @@ def _send_contexts(parts: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], names
                 )
+            if strings:
+                part = np.array([xxhash.xxh64_intdigest(s[0]) % parts for s in strings], dtype=np.int64)
+                order, cuts = _by_part(part, np.arange(len(part)))
+                rows = []
+                for p, a, b in cuts:
+                    content, doc, place = zip(*(strings[i] for i in order[a:b].tolist()), strict=True)
+                    doc, place, content = _blob(squeeze, _steps(np.array(doc, dtype=np.int64)), _steps(np.array(place, dtype=np.int64)), b"".join(content))
+                    rows.append((p, None, doc, place, None, content))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], names
+                )
             if marks:
                 # marks that need no index ride along; they are dealt by document
                 doc, place, size = (np.array(c, dtype=np.int64) for c in zip(*marks, strict=True))
@@ -374,12 +427,17 @@ def blocks(h: np.ndarray, docs: np.ndarray, places: np.ndarray, values: list[byt
             continue  # its anchor's hash was shared, not its document
         weight = sum(len(values[i]) for i in own)
         if weight > BLOCK:
-            pieces = [(values[i][k : k + LENGTH], docs[i], places[i] + k) for i in own for k in range(len(values[i]) - LENGTH + 1)]
-            bucket = np.array([xxhash.xxh64_intdigest(p[0]) % (1 + weight * 8 // BLOCK) for p in pieces])
-            for k in np.unique(bucket).tolist():
-                part = [pieces[i] for i in np.flatnonzero(bucket == k).tolist()]
-                content = np.array([xxhash.xxh64_intdigest(p[0]) for p in part], dtype=np.uint64)
-                yield content, [p[0] for p in part], np.array([p[1] for p in part]), np.array([p[2] for p in part])
+            count = np.array([len(values[i]) - LENGTH + 1 for i in own])
+            owner = np.repeat(np.array(own), count)
+            start = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            content = np.fromiter(
+                (xxhash.xxh64_intdigest(values[i][k : k + LENGTH]) for i in own for k in range(len(values[i]) - LENGTH + 1)), np.uint64, len(owner)
+            )
+            bucket = content % np.uint64(1 + weight * 8 // BLOCK)
+            by_bucket = np.argsort(bucket, kind="stable")
+            for part in np.split(by_bucket, np.flatnonzero(np.diff(bucket[by_bucket])) + 1):
+                strings = [values[i][k : k + LENGTH] for i, k in zip(owner[part].tolist(), start[part].tolist(), strict=True)]
+                yield content[part], strings, docs[owner[part]], places[owner[part]] + start[part]
             continue
         if size + weight > BLOCK and held:
             yield h[held], [values[i] for i in held], docs[held], places[held]
@@ -390,6 +448,16 @@ def blocks(h: np.ndarray, docs: np.ndarray, places: np.ndarray, values: list[byt
         yield h[held], [values[i] for i in held], docs[held], places[held]
 
 
+def repeated_strings(content: bytes, docs: np.ndarray) -> np.ndarray:
+    """Which of the strings of LENGTH bytes laid end to end stand in a smaller document too."""
+    ended = np.ones((len(docs), LENGTH + 1), dtype=np.uint8)  # a last byte that is not zero keeps zeros before it
+    ended[:, :LENGTH] = np.frombuffer(content, dtype=np.uint8).reshape(-1, LENGTH)
+    kind = np.unique(ended.view(f"S{LENGTH + 1}").ravel(), return_inverse=True)[1]
+    low = np.full(len(docs), np.iinfo(np.int64).max)
+    np.minimum.at(low, kind, docs)
+    return np.flatnonzero(docs > low[kind])
+
+
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor()
 
@@ -398,8 +466,12 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         hs, docs, places, values = [], [], [], []
+        strings = []
         for h, doc, place, size, content in rows:
             doc, place = (np.cumsum(np.frombuffer(expand.decompress(x), "<i8")) for x in (doc, place))
+            if size is None:
+                strings.append((doc, place, expand.decompress(content)))
+                continue
             sizes = np.frombuffer(expand.decompress(size), "<i4")
             if h is None:
                 yield batch_of(doc, place, sizes)
@@ -414,6 +486,10 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if values:
             for block in blocks(np.concatenate(hs), np.concatenate(docs), np.concatenate(places), values):
                 yield batch_of(*mark(*block))
+        if strings:
+            doc, place = (np.concatenate([s[i] for s in strings]) for i in (0, 1))
+            hit = repeated_strings(b"".join(s[2] for s in strings), doc)
+            yield batch_of(doc[hit], place[hit], np.full(len(hit), LENGTH))
 
     yield from _per_part(batches, ["hash", "doc", "place", "size", "bytes"], found)
 
@@ -464,7 +540,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     sent = dealt.mapInArrow(_send_anchors(n), f"part int, {blob}, known binary")
     repeated = sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeated_anchors, "doc_id long, place long")
     places = repeated.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    contexts = dealt.join(places, "doc_id", "left").mapInArrow(_send_contexts(n), f"part int, {blob}, size binary, bytes binary")
+    hot = hot_anchors(texts(docs))
+    contexts = dealt.join(places, "doc_id", "left").mapInArrow(_send_contexts(n, hot), f"part int, {blob}, size binary, bytes binary")
     marks = contexts.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_marks, "doc_id long, place long, size long")
     grouped = marks.groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("marks"))
     return dealt.join(grouped, "doc_id", "left").select("doc_id", "text", "dup", "marks").mapInArrow(

@@ -6,9 +6,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from lagloom.llm import editprint, language, licenses, mixing, packing, pii, queries, repeats, simhash, tokens, topk
@@ -200,6 +202,40 @@ def test_repeats_edge(edge, empty):
     assert repeats.without_repeats(empty).count() == 0
 
 
+def shared_passage(n):
+    rng = random.Random(11)
+    own = lambda: "".join(rng.choice("abcdefgh ") for _ in range(40))
+    passage = "".join(rng.choice("ijklmnop ") for _ in range(90))
+    return [(i, own() + passage + own()) for i in range(n)]
+
+
+def test_hot_anchors_go_string_by_string(spark, monkeypatch):
+    """A passage in all documents has anchors at its edges whose contexts differ: no part gets one of them whole."""
+    monkeypatch.setattr(repeats, "SAMPLED", 1)
+    monkeypatch.setattr(repeats, "HOT", 60)
+    rows = [*shared_passage(120), (7, "x" + shared_passage(3)[2][1]), (None, shared_passage(1)[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hot = repeats.hot_anchors(df)
+    assert len(hot) > 0
+    assert repeats_of(df) == plain_repeats(rows)
+    values = [t.encode() for i, t in rows if i is not None]
+    text, h, _, _ = repeats.anchors(*repeats._joined(values))
+    places = [[int(k) for k in range(int((text == t).sum()))] for t in range(len(values))]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(len(values)), pa.int64()), "dup": pa.array([0] * len(values), pa.int32()),
+        "text": pa.array([v.decode() for v in values]), "places": pa.array(places, pa.list_(pa.int64())),
+    })
+    whole, spread = {}, set()
+    for out in repeats._send_contexts(16, hot)(iter([batch])):
+        for r in out.to_pylist():
+            if r["hash"] is not None:
+                for short in np.frombuffer(zstandard.ZstdDecompressor().decompress(r["hash"]), "<u4").tolist():
+                    whole[r["part"], short] = whole.get((r["part"], short), 0) + 1
+            elif r["bytes"] is not None:
+                spread.add(r["part"])
+    assert max(whole.values()) < 60 and len(spread) == 16
+
+
 def test_run_index_leads_back_through_its_texts():
     values = [b"banana bandana bandanas", b"bandanas and banana bandana", b"\x00\xff\x00" * 5]
     index = repeats.RunIndex(values, np.array([3, 1, 2]), length=8)
