@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagloom.llm.common import components, slices, texts, tiled
@@ -188,68 +188,143 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
-def _band_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one band with likeness SAME or more, as few as still connect what is connected; rows come sorted."""
+def text_node(text: Column) -> Column:
+    """Name of a text: 16 bytes of its SHA-256."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
-    def found(prints: list[str]) -> pa.RecordBatch | None:
-        own = sorted(set(prints))
-        symbols = np.array([list(p) for p in own])
-        above = list(range(len(own)))
 
-        def root(i: int) -> int:
-            while above[i] != i:
-                above[i] = above[above[i]]
-                i = above[i]
-            return i
+def own_prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, fingerprint) of every row, ``node`` the name of its text."""
 
-        pairs = []
-        for i in range(len(own) - 1):
-            for j in (i + 1 + np.flatnonzero(likeness(symbols[i], symbols[i + 1 :]) >= SAME)).tolist():
-                x, y = root(i), root(j)
-                if x != y:
-                    above[y] = x
-                    pairs.append((own[i], own[j]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bit_table()
+        for batch in slices(batches, "text", BATCH):
+            prints = pa.array(_hex(walk_prints(batch.column("text").to_pylist(), table)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), prints], ["doc_id", "node", "fingerprint"])
+
+    named = texts(docs).select("doc_id", text_node(F.col("text")).alias("node"), "text")
+    return named.mapInArrow(run, "doc_id long, node binary, fingerprint string")
+
+
+def forest(symbols: np.ndarray, label: np.ndarray, tried: list[set[int]]) -> list[tuple[int, int]]:
+    """Pairs with likeness SAME or more that were not tried, as few as connect the labels such pairs connect."""
+    label, pairs = label.copy(), []
+    for i in range(len(symbols) - 1):
+        near = (likeness(symbols[i], symbols[i + 1 :]) >= SAME) & (label[i + 1 :] != label[i])
+        near[[j - i - 1 for j in tried[i]]] = False
+        js = i + 1 + np.flatnonzero(near)
+        if len(js):
+            js = js[np.unique(label[js], return_index=True)[1]]
+            pairs += [(i, j) for j in js.tolist()]
+            label[np.isin(label, label[js])] = label[i]
+    return pairs
+
+
+def _offers(forests: int):
+    """Pairs of each tile for verification: ``forests`` forests without a pair in common, none of the pairs that failed.
+
+    Rows come sorted by (key, tile): texts with the root they are linked to so far, and failed pairs (node, other).
+    """
+
+    def found(key: int, tile: int, rows: list[tuple]) -> pa.RecordBatch | None:
+        own = sorted({r for r in rows if r[1] is None}, key=lambda r: r[0])
+        at = {r[0]: i for i, r in enumerate(own)}
+        symbols = np.array([[int(c, 16) for c in r[2]] for r in own], dtype=np.uint8)
+        roots: dict[bytes, int] = {}
+        label = np.array([roots.setdefault(r[3], len(roots)) for r in own])
+        tried: list[set[int]] = [set() for _ in own]
+        for a, b in {(r[0], r[1]) for r in rows if r[1] is not None}:
+            tried[min(at[a], at[b])].add(max(at[a], at[b]))
+        pairs: list[tuple[int, int]] = []
+        for _ in range(forests):
+            more = forest(symbols, label, tried)
+            if not more:
+                break
+            pairs += more
+            for i, j in more:
+                tried[i].add(j)
         if not pairs:
             return None
-        a, b = zip(*pairs, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        a, b = ([own[p[side]][0] for p in pairs] for side in (0, 1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key] * len(a), pa.int64()), pa.array([tile] * len(a), pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+            ["key", "tile", "a", "b"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "tile", "node", "other", "fingerprint", "root"))
+            for key, tile, *row in zip(*columns, strict=True):
+                if (key, tile) != at:
+                    if len(rows) > 1 and (out := found(*at, rows)):
+                        yield out
+                    at, rows = (key, tile), []
+                rows.append(tuple(row))
+        if len(rows) > 1 and (out := found(*at, rows)):
+            yield out
+
+    return run
 
-    run, prints = None, []
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, tile, own in zip(*(batch.column(c).to_pylist() for c in ("key", "tile", "fingerprint")), strict=True):
-            if (key, tile) != run:
-                if len(prints) > 1 and (out := found(prints)):
-                    yield out
-                run, prints = (key, tile), []
-            prints.append(own)
-    if len(prints) > 1 and (out := found(prints)):
-        yield out
+        good = []
+        for s, t in zip(batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist(), strict=True):
+            most = (1 - SAME) * max(len(s), len(t))
+            good.append(abs(len(s) - len(t)) <= most and edit_distance(s, t) <= most)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], ["a", "b", "good"])
 
 
-def near_copies(docs: DataFrame, prints: DataFrame, chunk: int = 2048) -> DataFrame:
+def near_copies(docs: DataFrame, prints: DataFrame | None = None, chunk: int = 2048) -> DataFrame:
     """(doc_id, class_id): texts joined by chains of pairs whose edit distance is at most 1 - SAME of the longer one.
 
-    ``prints`` are the rows of ``edit_prints(docs)``. Equal fingerprints count as one text. Candidates agree in a band of
-    SLOTS / BANDS sampled symbols and in SAME of all; of these, pairs enough to connect each band are verified on the
-    texts. class_id is the smallest doc_id of the class.
+    Candidates agree in a band of SLOTS / BANDS sampled symbols and in SAME of all. A tile offers forests of its
+    candidates, these are verified on the texts, and a tile with a pair that failed offers pairs not tried between texts
+    not yet linked, twice as many forests each round, until none is left: classes are those of all verified candidates.
+    Equal texts are one; different texts with equal prints are verified like others. ``prints``, if given, are rows of
+    ``own_prints(docs)``; those of ``edit_prints`` do not name their text and are found anew. class_id is the smallest
+    doc_id of the class, null if none of its rows has one.
     """
-    reps = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")))
+    if prints is None or "node" not in prints.columns:
+        prints = own_prints(docs)
+    prints = cut_lineage(prints)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = prints.groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
     width = SLOTS // BANDS
-    bands = F.array(*(F.concat(F.lit(f"{b}:"), F.substring("fingerprint", b * width + 1, width)) for b in range(BANDS)))
-    keyed = reps.select("fingerprint", F.explode(bands).alias("key"))
-    pairs = tiled(keyed, "fingerprint", chunk).mapInArrow(_band_pairs, "a string, b string").distinct()
-    for side in ("a", "b"):
-        own = reps.select(F.col("fingerprint").alias(side), F.col("rep").alias(f"{side}_id"))
-        whole = texts(docs).select(F.col("doc_id").alias(f"{side}_id"), F.col("text").alias(f"{side}_text"))
-        pairs = lookup(lookup(pairs, own, side, "inner"), whole, f"{side}_id", "inner")
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("a_id", "b_id", "a_text", "b_text"))
-            good = [(x, y) for x, y, s, t in zip(*columns, strict=True) if edit_distance(s, t) <= (1 - SAME) * max(len(s), len(t))]
-            a, b = zip(*good, strict=True) if good else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    groups = components(pairs.select("a_id", "b_id", "a_text", "b_text").mapInArrow(verified, "a long, b long"))
-    named = lookup(reps, groups.withColumnRenamed("node", "rep"), "rep").select("fingerprint", F.coalesce("root", "rep").alias("class_id"))
-    return lookup(prints.select("doc_id", "fingerprint"), named, "fingerprint").select("doc_id", "class_id")
+    bands = F.array(*(F.xxhash64(F.lit(b), F.substring("fingerprint", b * width + 1, width)) for b in range(BANDS)))
+    keyed = nodes.select("node", F.explode(bands).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("several")).where("several > 1").select("key")
+    meeting = cut_lineage(lookup(keyed, shared, "key", "inner").select("key", "node"))
+    tiles = cut_lineage(lookup(tiled(meeting, "node", chunk), nodes, "node", "inner").select("key", "tile", "node", "fingerprint"))
+    whole = texts(docs).select(text_node(F.col("text")).alias("node"), "text")
+    links = failed = groups = None
+    forests = 1
+    while True:
+        if groups is None:
+            rooted = tiles.withColumn("root", F.col("node"))
+        else:
+            rooted = lookup(tiles, groups, "node").withColumn("root", F.coalesce("root", "node"))
+        rows = rooted.withColumn("other", F.lit(None).cast("binary"))
+        if failed is not None:
+            rows = rows.unionByName(failed.select("key", "tile", F.col("a").alias("node"), F.col("b").alias("other")), allowMissingColumns=True)
+        dealt = rows.repartition(n, "key", "tile").sortWithinPartitions("key", "tile")
+        offered = cut_lineage(dealt.mapInArrow(_offers(forests), "key long, tile long, a binary, b binary"))
+        pairs = offered.select("a", "b").distinct()
+        needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        read = cut_lineage(whole.join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
+        for side in ("a", "b"):
+            pairs = lookup(pairs, read.select(F.col("node").alias(side), F.col("text").alias(f"{side}_text")), side, "inner")
+        judged = cut_lineage(pairs.select("a", "b", "a_text", "b_text").repartition(n, "a", "b").mapInArrow(_judged, "a binary, b binary, good boolean"))
+        good = judged.where("good").select("a", "b")
+        links = good if links is None else links.unionByName(good)
+        groups = components(links)
+        bad = cut_lineage(offered.join(judged.where("not good").select("a", "b"), ["a", "b"], "left_semi"))
+        if bad.isEmpty():
+            break
+        failed = bad if failed is None else failed.unionByName(bad)
+        tiles = cut_lineage(tiles.join(bad.select("key", "tile").distinct(), ["key", "tile"], "left_semi"))
+        failed = cut_lineage(failed.join(bad.select("key", "tile").distinct(), ["key", "tile"], "left_semi"))
+        forests *= 2
+    named = lookup(prints.select("doc_id", "node"), groups, "node").select("doc_id", F.coalesce("root", "node").alias("root"))
+    return lookup(named, named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")

@@ -62,11 +62,16 @@ def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.edit_prints(table(spark, sf_dir, "documents"))
 
 
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_mix_to_target_weights, op3_language_id, op4_repeated_passages, op5_license_scan,
         op6_best_fit_packing, op7_exact_top_k, op8_token_counts, op9_private_data, op10_edit_fingerprints,
+        op10_near_copies,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -516,5 +516,56 @@ def test_edit_distance_and_classes(spark):
     assert classes == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0, 5: 1, 6: 2, 7: 3, 8: 0}
 
 
+def plain_classes(rows):
+    """Texts linked if prints share a band, are alike and the texts are within the edit distance; smallest id reachable."""
+    prints = [plain_print(t) for _, t in rows]
+    width = editprint.SLOTS // editprint.BANDS
+    links = []
+    for i in range(len(rows)):
+        for j in range(i):
+            (_, s), (_, t), a, b = rows[i], rows[j], prints[i], prints[j]
+            banded = any(a[k : k + width] == b[k : k + width] for k in range(0, editprint.SLOTS, width))
+            if banded and like(a, b) >= editprint.SAME and editprint.edit_distance(s, t) <= (1 - editprint.SAME) * max(len(s), len(t)):
+                links.append((i, j))
+    low = [i for i, _ in rows]
+    while True:
+        before = list(low)
+        for i, j in links:
+            low[i] = low[j] = min(low[i], low[j])
+        if low == before:
+            return {i: c for (i, _), c in zip(rows, low, strict=True)}
+
+
+def test_failed_pairs_do_not_cut_classes(spark, monkeypatch):
+    """Prints all alike, texts of three kinds: most pairs fail, and every class must come out whole."""
+    monkeypatch.setattr(editprint, "walk_prints", lambda values, table: np.full((len(values), editprint.SLOTS), 7, dtype=np.uint8))
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(120)) for _ in range(3)]
+    rows = [(i, base[i % 3][:50] + f"{i:04d}" + base[i % 3][54:]) for i in range(60)]
+    df = spark.createDataFrame([*rows, (70, rows[4][1]), (None, rows[5][1])], "doc_id long, text string")
+    for chunk in (16, 2048):
+        got = by_id(editprint.near_copies(df, chunk=chunk), "class_id")
+        assert got == {**{i: (i % 3,) for i, _ in rows}, 70: (1,), None: (2,)}
+
+
+def test_near_copies_are_those_of_all_candidates(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(5, 200))) if i % 6 == 0 else rows[-1][1]
+        for _ in range(rng.randrange(4) if i % 6 else 0):
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice("xyz") * rng.randrange(3) + text[at + 1 :]
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {i: c for i, (c,) in by_id(editprint.near_copies(df, chunk=8), "class_id").items()} == plain_classes(rows)
+
+
+def test_near_copies_edge(edge, empty):
+    out = editprint.near_copies(edge).collect()
+    assert len(out) == len(EDGE) and {r.class_id for r in out if r.doc_id in (4, 5)} == {4}
+    assert editprint.near_copies(empty).count() == 0
+
+
 def test_letters():
     assert language.letters("Ab1²_c’É") == "ab c é" and regex.search(r"\p{L}", "½²") is None
