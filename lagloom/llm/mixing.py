@@ -28,7 +28,7 @@ from lagloom.session import cut_lineage
 
 SAMPLE = 4000  # labelled documents the classifier is fitted on, at most
 FEATURES = 1 << 15
-RARE = 50  # a feature needs one in so many documents of the sample to get a weight
+RARE = 5  # a feature needs so many documents of one domain to get a weight
 HELD = 1 << 17  # words whose features a task keeps
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -85,21 +85,24 @@ def fit(features: list[list[int]], domains: list[str], steps: int = 80, ridge: f
     target = np.eye(len(names))[[names.index(d) for d in domains]]
     counts = np.array([len(f) for f in features], dtype=np.int64)
     flat = np.fromiter((i for f in features for i in f), dtype=np.int64, count=int(counts.sum()))
-    common = np.flatnonzero(np.bincount(flat, minlength=FEATURES) >= max(2, len(features) // RARE))
+    owner = np.repeat(np.arange(len(features)), counts)
+    domain = target.argmax(axis=1)[owner]
+    within = np.stack([np.bincount(flat[domain == k], minlength=FEATURES) for k in range(len(names))])
+    common = np.flatnonzero(within.max(axis=0) >= RARE)
     column = np.full(FEATURES, -1, dtype=np.int64)
     column[common] = np.arange(len(common))
-    x = np.zeros((len(features), len(common)), dtype=np.float32)
     use = column[flat] >= 0
-    x[np.repeat(np.arange(len(features)), counts)[use], column[flat[use]]] = 1
-    weights, seen = np.zeros((len(common), len(names)), dtype=np.float32), np.full((len(common), len(names)), 1e-8)
+    row, at = owner[use], column[flat[use]]  # the ones of a documents x features matrix
+    weights, seen = np.zeros((len(common), len(names))), np.full((len(common), len(names)), 1e-8)
     bias, seen_bias = np.zeros(len(names)), np.full(len(names), 1e-8)
     for _ in range(steps):
-        logits = (x @ weights).astype(float) + bias
+        logits = np.stack([np.bincount(row, w[at], minlength=len(features)) for w in weights.T], axis=1) + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = (p / p.sum(axis=1, keepdims=True) - target) / len(features)
-        slope = (x.T @ error.astype(np.float32)).astype(float) + ridge * weights / len(features) ** 0.5
+        slope = np.stack([np.bincount(at, e[row], minlength=len(common)) for e in error.T], axis=1).astype(float)
+        slope += ridge * weights / len(features) ** 0.5
         seen += slope**2
-        weights -= (0.1 * slope / np.sqrt(seen)).astype(np.float32)
+        weights -= 0.1 * slope / np.sqrt(seen)
         own = error.sum(axis=0)
         seen_bias += own**2
         bias -= 0.1 * own / np.sqrt(seen_bias)

@@ -127,6 +127,21 @@ def test_rates_are_least_squares(spark):
     assert (r >= 0).all() and np.abs((p * n[:, None]).T @ r - np.array(rates.targets)).max() < 1e-4 * sum(rates.targets)
 
 
+def test_words_of_a_scarce_domain_count():
+    """One document in 200 is toxic and only two words tell it, each in half of them."""
+    rng = random.Random(14)
+    features, domains = [], []
+    for i in range(2000):
+        toxic = i % 200 == 0
+        features.append(sorted({*(rng.randrange(100) for _ in range(30)), *([200 + i // 200 % 2] if toxic else [])}))
+        domains.append("toxic" if toxic else "plain")
+    model = mixing.fit(features, domains)
+    assert (model.weights[[200, 201], 1] > 0).all()
+    p = model.posteriors(features)[:, model.domains.index("toxic")]
+    told = np.array(domains) == "toxic"
+    assert p[told].mean() > 2 * p[~told].mean()
+
+
 def test_mixing_edge(spark, edge, empty):
     labels = spark.createDataFrame([(3, "x"), (4, "y"), (None, "x"), (9, None)], "doc_id long, domain string")
     out = mixing.mixing_rates(edge, labels, {"x": 0.5, "y": 0.5})
