@@ -3,20 +3,21 @@
 1. A sample of the documents, one in RATE, proposes phrases: those of 1 to LONGEST words counted there LOWERED times.
 2. A full pass counts the proposals and their negative border, the phrases not proposed whose parts without the last and
    without the first word both are, and every word.
-3. A border phrase with the support is a failure: it may have frequent phrases above it that nobody counted. It joins the
-   proposals, and a further pass counts the border that this adds, until a pass finds no frequent phrase.
+3. A border phrase with the support is a failure: it may have frequent phrases above it that nobody counted. The frequent
+   phrases then take the place of the proposals and an expansion pass counts their border. To it, phrases that it is about to count
+   are known too, so it goes on to every size, and the border is closed after it: every part of a frequent phrase is
+   frequent, so either counted before or counted by it. Without failures there is no such pass.
 
-As every part of a frequent phrase is frequent, all frequent phrases are then known. A last pass counts them by their words.
+A last pass counts the frequent phrases by their words.
 
 Tasks know the proposals by a Bloom filter, sized by their number and at most FILTER bytes. What it lets through besides is
 counted too, so it costs rows, never results, also where proposals outgrow it. Passes before the last count 64-bit hashes; a
-shared hash can only let a phrase into the last pass, where the words decide.
+shared hash can only let a phrase into the last pass, whose counts go by the words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagloom.llm.common import raw, slices, texts
-from lagloom.llm.words import MOST, A, mix
+from lagloom.llm.words import A, B, mix
 from lagloom.operators.lookup import lookup
 from lagloom.session import cut_lineage, discard
 
 SUPPORT, LONGEST, COVER = 30, 4, 80  # least count, words of a phrase, percent of a count that a longer phrase takes over
-RATE, LOWERED = 8, 2  # one document in RATE is sampled; a proposal has LOWERED counts there
+RATE, LOWERED = 16, 2  # one document in RATE is sampled; a proposal has LOWERED counts there
 FILTER, BLOCK = 1 << 27, 1 << 16  # most bytes of a filter, bytes of it made together
-BUFFER = 1 << 22  # hashes a task holds before it counts them
-SLICE = 4 << 20
+BUFFER, HELD = 3 << 20, 1 << 16  # hashes, and phrases in words, that a task holds before it sends their counts
+SLICE = 1 << 20
 
 UPPER = bytes(range(65, 91))
 PLAIN = bytes.maketrans(UPPER + b"\t.,;:!?\x0b\x0c\r", UPPER.lower() + b" " + b"\n" * 9)
@@ -82,80 +83,89 @@ def _filter(keys: DataFrame) -> list[bytes] | None:
 
 
 class _Slice:
-    """Words of some texts, by language and piece."""
+    """Words of some texts as places in their joined bytes, by text and piece."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        self.words: list[bytes] = []
+        texts_ = raw(batch.column("text"))
         self.langs: list[str] = batch.column("lang").to_pylist()
-        sizes, rows = [], []
-        for row, text in enumerate(raw(batch.column("text"))):
-            pieces = [p.split() for p in text.translate(PLAIN).split(b"\n")]
-            self.words += chain.from_iterable(pieces)
-            sizes += map(len, pieces)
-            rows += [row] * len(pieces)
-        self.piece = np.repeat(np.arange(len(sizes)), sizes)
-        self.row = np.repeat(np.array(rows, dtype=np.int64), sizes)
-        self.first = np.searchsorted(self.row, np.arange(len(self.langs) + 1))
-
-    def by_row(self, number) -> np.ndarray:  # noqa: ANN001
-        """``number(lang)`` gives the mapping of a language's words to numbers."""
-        parts = [
-            np.fromiter(map(number(lang).__getitem__, self.words[a:b]), dtype=np.uint64, count=b - a)
-            for lang, a, b in zip(self.langs, self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)
-        ]
-        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+        self.bytes = b"\n".join([*texts_, b""]).translate(PLAIN)
+        data = np.frombuffer(self.bytes, dtype=np.uint8)
+        line = data == 10
+        gap = np.r_[True, line | (data == 32)]
+        bounds = np.flatnonzero(gap[1:] != gap[:-1])
+        self.begin, self.end = bounds[::2], bounds[1::2]  # the last byte is a gap
+        self.piece = np.searchsorted(np.flatnonzero(line), self.begin)
+        ends = np.cumsum(np.array([len(t) + 1 for t in texts_], dtype=np.int64))
+        self.row = np.searchsorted(ends, self.begin, side="right")
+        self.sizes = np.bincount(self.row, minlength=len(texts_))
+
+    def words(self, seed: int) -> np.ndarray:
+        """Hash of every word with its language: a polynomial of its bytes, as a difference of running sums."""
+        if not len(self.begin):
+            return np.zeros(0, dtype=np.uint64)
+        table = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        data = np.frombuffer(self.bytes, dtype=np.uint8)
+        up, down = _powers(len(data))
+        sums = np.r_[np.zeros(1, dtype=np.uint64), np.cumsum(table[data] * up)]
+        own = (sums[self.end] - sums[self.begin]) * down[self.begin]
+        known = {lang: xxhash.xxh64_intdigest(lang.encode(), seed) for lang in set(self.langs)}
+        return mix(own, np.array([known[lang] for lang in self.langs], dtype=np.uint64)[self.row])
+
+    def phrases(self, seed: int = 0) -> list[np.ndarray]:
+        """Hashes of the phrases of 1, 2, .. LONGEST words from every word on, whether of one piece or not."""
+        words = self.words(seed)
+        out = [words]
+        for size in range(2, LONGEST + 1):
+            out.append(mix(out[-1][:-1], words[size - 1 :]) if len(words) >= size else words[:0])
+        return out
 
     def inside(self, size: int) -> np.ndarray:
         """Whether the ``size`` words from each place on are of one piece."""
         count = max(len(self.piece) - size + 1, 0)
         return self.piece[:count] == self.piece[size - 1 :][:count]
 
+    def spell(self, at: int, size: int) -> bytes:
+        return b" ".join([self.bytes[a:b] for a, b in zip(self.begin[at : at + size].tolist(), self.end[at : at + size].tolist(), strict=True)])
 
-class _Names(dict):
-    """Hashes of one language's words."""
 
-    def __init__(self, lang: str) -> None:
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode())
+_POWERS: list[np.ndarray] = []
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
 
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64, kept for the next texts."""
+    if not _POWERS or len(_POWERS[0]) < size:
+        inverse = pow(int(B), -1, 1 << 64)
+        _POWERS[:] = [
+            np.multiply.accumulate(np.r_[np.ones(1, dtype=np.uint64), np.full(size - 1, base, dtype=np.uint64)]) for base in (B, np.uint64(inverse))
+        ]
+    return _POWERS[0][:size], _POWERS[1][:size]
 
-class _NamesByLang(dict):
-    def __missing__(self, lang: str) -> _Names:
-        if len(self) >= 1024:
-            self.clear()
-        value = self[lang] = _Names(lang)
-        return value
 
+def _offered(
+    part: _Slice, hashes: list[np.ndarray], bits: _Bits, before: list[np.ndarray] | None = None, words_only: bool = False
+) -> list[np.ndarray]:
+    """By size: places of the phrases whose two parts are known and that no pass ``before`` offered.
 
-def _hashes(part: _Slice, names: _NamesByLang) -> list[np.ndarray]:
-    """Hashes of the phrases of 1, 2, .. LONGEST words from every place on, whether of one piece or not."""
-    words = part.by_row(names.__getitem__)
-    out = [words]
+    Known is what the filter holds; if there was a pass before, what this one is about to count is known as well.
+    """
+    known = bits.has(hashes[0])
+    words, out = known, [np.ones(len(known), dtype=bool)]
     for size in range(2, LONGEST + 1):
-        out.append(mix(out[-1][:-1], words[size - 1 :]) if len(words) >= size else words[:0])
+        own = known[:-1] & (words[size - 1 :] if words_only else known[1:]) & part.inside(size)
+        new = own if before is None else own & ~before[size - 1]
+        out.append(new)
+        known = own
+        if not words_only and size < LONGEST:
+            known = new.copy() if before is not None else np.zeros(len(own), dtype=bool)
+            at = np.flatnonzero(own & ~known)
+            known[at] = bits.has(hashes[size - 1][at])
     return out
 
 
-def _candidates(part: _Slice, hashes: list[np.ndarray], bits: _Bits, words_only: bool = False) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """By size: places whose two parts the filter knows, and those it knows itself as well."""
-    held, known = [np.ones(len(hashes[0]), dtype=bool)], [bits.has(hashes[0])]
-    for size in range(2, LONGEST + 1):
-        below = known[-1]
-        both = below[:-1] & (known[0][size - 1 :] if words_only else below[1:]) & part.inside(size)
-        held.append(both)
-        own = both
-        if not words_only and size < LONGEST:
-            own = both.copy()
-            at = np.flatnonzero(both)
-            own[at] = bits.has(hashes[size - 1][at])
-        known.append(own)
-    return held, known
+def _summed(counts: DataFrame, n: str, *keys: str) -> DataFrame:
+    """Totals of counts that tasks have added up already: a key comes a few times from a task, so nothing is added before the exchange."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.repartition(parts, *keys).groupBy(*keys).agg(F.sum(n).alias(n))
 
 
 def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: bool = False) -> DataFrame:
@@ -163,33 +173,34 @@ def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: b
     sent = [docs.sparkSession.sparkContext.broadcast(b) for b in bits]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, filters = _NamesByLang(), [_Bits(b.value) for b in sent]
+        filters = [_Bits(b.value) for b in sent]
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                keys, n = np.unique(np.concatenate(held), return_counts=True)
+                keys = np.concatenate(held)
                 held.clear()
+                keys.sort()
+                new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+                n, keys = np.diff(np.r_[new, len(keys)]), keys[new].view(np.int64)
                 for i in range(0, len(keys), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in (keys.view(np.int64), n)], ["key", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in (keys, n)], ["key", "n"])
 
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
-            hashes = _hashes(part, names)
+            hashes = part.phrases()
             if not filters:
                 held.append(hashes[0])
             else:
-                offered = [_candidates(part, hashes, f, words_only)[0] for f in filters]
-                for size in sizes:
-                    new = offered[-1][size - 1]
-                    for before in offered[:-1]:
-                        new = new & ~before[size - 1]
-                    held.append(hashes[size - 1][new])
+                places = None
+                for bits in filters:
+                    places = _offered(part, hashes, bits, places, words_only)
+                held += [hashes[size - 1][places[size - 1]] for size in sizes]
             if sum(map(len, held)) >= BUFFER:
                 yield from flush()
         yield from flush()
 
-    return docs.mapInArrow(scan, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return _summed(docs.mapInArrow(scan, "key long, n long"), "n", "key")
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -210,16 +221,15 @@ def _proposed(rows: DataFrame, rate: int, lowered: int) -> DataFrame:
 def _closed(rows: DataFrame, support: int, rate: int, lowered: int) -> tuple[DataFrame, list[int]]:
     """Hashes of all frequent phrases, and how many frequent phrases each full pass found that were not proposed to it."""
     proposed = _proposed(rows, rate, lowered)
-    bits = [_filter(proposed) or [bytes(BLOCK)]]
-    counted = cut_lineage(_count(rows, bits, range(1, LONGEST + 1)).where(F.col("n") >= support).select("key"))
+    first = _filter(proposed) or [bytes(BLOCK)]
+    counted = cut_lineage(_count(rows, [first], range(1, LONGEST + 1)).where(F.col("n") >= support).select("key"))
     failures = [counted.join(proposed, "key", "left_anti").count()]
     discard(proposed)
-    while failures[-1]:
-        bits.append(_filter(counted))
-        more = cut_lineage(_count(rows, bits, range(2, LONGEST + 1)).where(F.col("n") >= support).select("key"))
+    if failures[0]:
+        # phrases that this pass counts are known to it, so it reaches every size and leaves no border open
+        more = cut_lineage(_count(rows, [first, _filter(counted)], range(2, LONGEST + 1)).where(F.col("n") >= support).select("key"))
         failures.append(more.count())
-        if failures[-1]:
-            counted = cut_lineage(counted.unionByName(more))
+        counted = counted.unionByName(more)
     return counted, failures
 
 
@@ -228,7 +238,7 @@ def _spelled(rows: DataFrame, bits: list[bytes]) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, known = _NamesByLang(), _Bits(sent.value)
+        known = _Bits(sent.value)
         total: dict[tuple[str, bytes | None], int] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -242,44 +252,24 @@ def _spelled(rows: DataFrame, bits: list[bytes]) -> DataFrame:
 
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
-            hashes = _hashes(part, names)
-            held, _ = _candidates(part, hashes, known)
-            codes: dict[str, dict] = {}
-            made: dict[tuple[str, bytes], int] = {}
-            one = part.by_row(lambda lang: codes.setdefault(lang, _Codes(made, lang)))
-            code, at = one, np.arange(len(one))
-            for size in range(1, LONGEST + 1):
-                places = np.flatnonzero(held[size - 1])
-                places = places[known.has(hashes[size - 1][places])]
-                if size == 1:
-                    pair = one[places]
-                else:
-                    # the shorter phrase from the same place on has a number already
-                    pair = code[np.searchsorted(at, places)] << np.uint64(32) | one[places + size - 1]
-                _, first, code, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-                code, at = code.astype(np.uint64), places
-                for i, count in zip(places[first].tolist(), n.tolist(), strict=True):
-                    key = part.langs[part.row[i]], b" ".join(part.words[i : i + size])
-                    total[key] = total.get(key, 0) + count
-            for lang, n in zip(part.langs, np.diff(part.first).tolist(), strict=True):
+            hashes, others = part.phrases(), part.phrases(1)
+            for size, places in enumerate(_offered(part, hashes, known), 1):
+                at = np.flatnonzero(places)
+                at = at[known.has(hashes[size - 1][at])]
+                # two hashes of 64 bits tell which places hold one phrase; a phrase may come in several stretches
+                at = at[np.argsort(hashes[size - 1][at], kind="stable")]
+                a, b = hashes[size - 1][at], others[size - 1][at]
+                new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(at)])
+                for i, n in zip(at[new].tolist(), np.diff(np.r_[new, len(at)]).tolist(), strict=True):
+                    key = part.langs[part.row[i]], part.spell(i, size)
+                    total[key] = total.get(key, 0) + n
+            for lang, n in zip(part.langs, part.sizes.tolist(), strict=True):
                 total[lang, None] = total.get((lang, None), 0) + n
-            if len(total) >= MOST:
+            if len(total) >= HELD:
                 yield from flush()
         yield from flush()
 
-    return rows.mapInArrow(scan, "lang string, phrase string, a long").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
-
-
-class _Codes(dict):
-    """Numbers of one language's words, the languages sharing one count."""
-
-    def __init__(self, made: dict, lang: str) -> None:
-        super().__init__()
-        self.made, self.lang = made, lang
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = self.made.setdefault((self.lang, word), len(self.made))
-        return value
+    return _summed(rows.mapInArrow(scan, "lang string, phrase string, a long"), "a", "lang", "phrase")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, rate: int = RATE, lowered: int = LOWERED) -> DataFrame:
