@@ -33,8 +33,8 @@ from lagloom.session import cut_lineage, discard
 SUPPORT, LONGEST, COVER = 30, 4, 80  # least count, words of a phrase, percent of a count that a longer phrase takes over
 RATE, LOWERED = 16, 2  # one document in RATE is sampled; a proposal has LOWERED counts there
 FILTER, BLOCK = 1 << 27, 1 << 16  # most bytes of a filter, bytes of it made together
-BUFFER, HELD = 3 << 20, 1 << 16  # hashes, and phrases in words, that a task holds before it sends their counts
-SLICE = 1 << 20
+BUFFER, HELD = 3 << 20, 3 << 18  # hashes, and phrases in words, that a task holds before it sends their counts
+SLICE = 2 << 20
 
 UPPER = bytes(range(65, 91))
 PLAIN = bytes.maketrans(UPPER + b"\t.,;:!?\x0b\x0c\r", UPPER.lower() + b" " + b"\n" * 9)
@@ -238,40 +238,61 @@ def _spelled(rows: DataFrame, bits: list[bytes]) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Bits(sent.value)
-        total: dict[tuple[str, bytes | None], int] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = [(lang, phrase, n) for (lang, phrase), n in total.items()]
-            total.clear()
-            for i in range(0, len(rows), 1 << 15):
-                lang, phrase, n = zip(*rows[i : i + (1 << 15)], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "a"]
-                )
-
+        known, held, total = _Bits(sent.value), _Held(), {}
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
             hashes, others = part.phrases(), part.phrases(1)
             for size, places in enumerate(_offered(part, hashes, known), 1):
                 at = np.flatnonzero(places)
                 at = at[known.has(hashes[size - 1][at])]
-                # two hashes of 64 bits tell which places hold one phrase; a phrase may come in several stretches
-                at = at[np.argsort(hashes[size - 1][at], kind="stable")]
-                a, b = hashes[size - 1][at], others[size - 1][at]
-                new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(at)])
-                for i, n in zip(at[new].tolist(), np.diff(np.r_[new, len(at)]).tolist(), strict=True):
-                    key = part.langs[part.row[i]], part.spell(i, size)
-                    total[key] = total.get(key, 0) + n
+                held.add(part, size, at, hashes[size - 1][at], others[size - 1][at])
             for lang, n in zip(part.langs, part.sizes.tolist(), strict=True):
-                total[lang, None] = total.get((lang, None), 0) + n
-            if len(total) >= HELD:
-                yield from flush()
-        yield from flush()
+                total[lang] = total.get(lang, 0) + n
+            if len(held.keys) >= HELD:
+                yield from held.flush()
+        yield from held.flush()
+        if total:
+            langs = pa.array(list(total), pa.string())
+            yield pa.RecordBatch.from_arrays([langs, pa.nulls(len(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "a"])
 
     return _summed(rows.mapInArrow(scan, "lang string, phrase string, a long"), "a", "lang", "phrase")
 
 
+class _Held:
+    """Counts of phrases that a task has spelled, each once; two hashes of 64 bits tell them apart."""
+
+    def __init__(self) -> None:
+        self.keys = self.others = np.zeros(0, dtype=np.uint64)
+        self.at = self.n = np.zeros(0, dtype=np.int64)  # of each key its phrase; of each phrase its count
+        self.spelled: list[tuple[str, bytes]] = []
+
+    def add(self, part: _Slice, size: int, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        order = np.argsort(a, kind="stable")
+        at, a, b = at[order], a[order], b[order]
+        # two phrases that share the first hash may come in several stretches, each with its count
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(at)])
+        n, at, a, b = np.diff(np.r_[new, len(at)]), at[new], a[new], b[new]
+        where = np.minimum(np.searchsorted(self.keys, a), max(len(self.keys) - 1, 0))
+        old = (self.keys[where] == a) & (self.others[where] == b) if len(self.keys) else np.zeros(len(a), dtype=bool)
+        np.add.at(self.n, self.at[where[old]], n[old])
+        fresh = ~old
+        numbers = len(self.spelled) + np.arange(int(fresh.sum()))
+        self.spelled += [(part.langs[part.row[i]], part.spell(i, size)) for i in at[fresh].tolist()]
+        self.n = np.r_[self.n, n[fresh]]
+        into = np.searchsorted(self.keys, a[fresh])
+        self.keys, self.others, self.at = (
+            np.insert(held, into, more) for held, more in ((self.keys, a[fresh]), (self.others, b[fresh]), (self.at, numbers))
+        )
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(self.spelled), 1 << 15):
+            lang, phrase = zip(*self.spelled[i : i + (1 << 15)], strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(self.n[i : i + (1 << 15)])], ["lang", "phrase", "a"]
+            )
+        self.__init__()
+
+
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, rate: int = RATE, lowered: int = LOWERED) -> DataFrame:
     """(lang, phrase, a) of all phrases of 1 to LONGEST words found ``support`` times in a language, written out.
 
