@@ -214,14 +214,18 @@ SHARES = {"good": 0.85, "plain": 0.1, "toxic": 0.05}
 def mixing_rates(docs: DataFrame, labelled: DataFrame, shares: dict[str, float]) -> DataFrame:
     """(doc_id, n_tokens, domain, one p_<domain> per domain, rate, copies) for every row of ``docs``.
 
-    ``domain`` is the likeliest one. Without labels there is one domain less than needed to mix: every rate is 1 and
-    domain is null. Repeated rows have the same rate each; null and empty texts have no tokens and the starting rate.
+    ``domain`` is the likeliest one. Without labels there is one domain less than needed to mix: every rate is 1,
+    domain and posteriors are null. Repeated rows have the same rate each; null and empty texts have no tokens and the starting rate.
     """
     model = fit_domains(docs, labelled)
     plain = docs.select("doc_id", "text")
     if not model.domains:
-        return plain.select("doc_id", F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0)).cast("long").alias("n_tokens"),
-                            F.lit(None).cast("string").alias("domain"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
+        tokens = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")).cast("long")
+        none = F.lit(None).cast("double")
+        return plain.select(
+            "doc_id", tokens.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), *(none.alias(f"p_{d}") for d in sorted(shares)),
+            F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"),
+        )
     members = cut_lineage(with_posteriors(plain, model).select("doc_id", "_tokens", "_posterior"))
     rate = fit_rates(members, model.domains, shares).of(F.col("_posterior"), F.col("_tokens"))
     names = F.array(*map(F.lit, model.domains))

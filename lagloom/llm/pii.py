@@ -235,9 +235,11 @@ def find(docs: DataFrame) -> DataFrame:
         "doc_id", "text_key", F.struct(kind.alias("kind"), "start", "end").alias("span")
     )
     grouped = own.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("span")).alias("term_spans"))
-    keyed = cut_lineage(grouped.withColumn("doc_key", F.coalesce("doc_id", F.lit(-1))).drop("doc_id"))
+    # a missing id is a key of its own, not that of any number
+    keys = lambda df: df.withColumn("doc_key", F.coalesce("doc_id", F.lit(-1))).withColumn("no_id", F.col("doc_id").isNull())
+    keyed = cut_lineage(keys(grouped).drop("doc_id"))
     return (
-        rows.withColumn("doc_key", F.coalesce("doc_id", F.lit(-1))).join(keyed, ["doc_key", "text_key"], "left")
+        keys(rows).join(keyed, ["doc_key", "no_id", "text_key"], "left")
         .select("doc_id", "text_key", "spans", F.coalesce("term_spans", F.array().cast(SPAN_TYPE)).alias("term_spans"))
     )
 

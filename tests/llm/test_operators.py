@@ -451,6 +451,25 @@ def test_disclosing_terms_are_sanitised(spark):
     assert "[EMAIL]" in clean[0][0]
 
 
+def test_a_row_without_id_beside_id_minus_one(spark):
+    """Both share a text with a disclosed term; every row comes out once, with its spans."""
+    rng = random.Random(9)
+    filler = lambda: " ".join(rng.choice(["the", "of", "and", "river", "stone", "table"]) for _ in range(12))
+    texts = [f"{filler()} zorblatt writes from zed@example.com {filler()}" for _ in range(6)] + [filler() for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (-1, texts[0]), (None, texts[0])]
+    out = pii.private_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    assert len({r.spans for r in out if r.doc_id in (None, -1, 0)}) == 1 and "key:" in next(r.spans for r in out if r.doc_id == -1)
+
+
+def test_tokens_without_labels_are_those_with_labels(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["", " a b", "a b ", None, "a\tb\x0bc\x85d", "x"])], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, "good"), (2, "plain"), (5, "good")], "doc_id long, domain string")
+    without, given = (mixing.mixing_rates(docs, some, mixing.SHARES) for some in (labels.limit(0), labels))
+    assert by_id(without, "n_tokens") == by_id(given, "n_tokens") == {i: (n,) for i, n in enumerate([0, 2, 2, 0, 3, 1])}
+    assert without.columns == ["doc_id", "n_tokens", "domain", *(f"p_{d}" for d in sorted(mixing.SHARES)), "rate", "copies"]
+
+
 def test_private_edge(edge, empty):
     out = pii.private_data(edge)
     assert out.count() == len(EDGE) and out.where(F.col("base_sha256") == hashlib.sha256(b"").hexdigest()).count() == len(EDGE)
