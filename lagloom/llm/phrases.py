@@ -8,11 +8,11 @@
    are known too, so it goes on to every size, and the border is closed after it: every part of a frequent phrase is
    frequent, so either counted before or counted by it. Without failures there is no such pass.
 
-A last pass counts the frequent phrases by their words.
+A last pass spells the frequent phrases, each in the texts of one of 2 ** OWNER_BITS shares, the least that holds it.
 
 Tasks know the proposals by a Bloom filter, sized by their number and at most FILTER bytes. What it lets through besides is
-counted too, so it costs rows, never results, also where proposals outgrow it. Passes before the last count 64-bit hashes; a
-shared hash can only let a phrase into the last pass, whose counts go by the words.
+counted too, so it costs rows, never results, also where proposals outgrow it. Phrases are counted by 64-bit hashes: among a
+billion different ones two share a hash with a chance of some 3 %, and would be counted together.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from lagloom.session import cut_lineage, discard
 SUPPORT, LONGEST, COVER = 30, 4, 80  # least count, words of a phrase, percent of a count that a longer phrase takes over
 RATE, LOWERED = 16, 2  # one document in RATE is sampled; a proposal has LOWERED counts there
 FILTER, BLOCK = 1 << 27, 1 << 16  # most bytes of a filter, bytes of it made together
-BUFFER, HELD = 3 << 20, 3 << 18  # hashes, and phrases in words, that a task holds before it sends their counts
+BUFFER, HELD = 3 << 20, 1 << 19  # hashes that a task holds before it counts them; phrases that it remembers having spelled
+OWNER_BITS = 8
 SLICE = 2 << 20
 
 UPPER = bytes(range(65, 91))
@@ -98,6 +99,7 @@ class _Slice:
         ends = np.cumsum(np.array([len(t) + 1 for t in texts_], dtype=np.int64))
         self.row = np.searchsorted(ends, self.begin, side="right")
         self.sizes = np.bincount(self.row, minlength=len(texts_))
+        self.owner = np.array([xxhash.xxh3_64_intdigest(t) & ((1 << OWNER_BITS) - 1) for t in texts_], dtype=np.int64)
 
     def words(self, seed: int) -> np.ndarray:
         """Hash of every word with its language: a polynomial of its bytes, as a difference of running sums."""
@@ -162,45 +164,51 @@ def _offered(
     return out
 
 
-def _summed(counts: DataFrame, n: str, *keys: str) -> DataFrame:
-    """Totals of counts that tasks have added up already: a key comes a few times from a task, so nothing is added before the exchange."""
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counts.repartition(parts, *keys).groupBy(*keys).agg(F.sum(n).alias(n))
-
-
 def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: bool = False) -> DataFrame:
-    """(key, n): counts of the phrases of these sizes that the last filter offers and no filter before it did."""
+    """(key, n, owner): counts of the phrases of these sizes that the last filter offers and no filter before it did.
+
+    ``owner`` is the least share of the texts, of 2 ** OWNER_BITS shares by their content, that holds the phrase.
+    """
     sent = [docs.sparkSession.sparkContext.broadcast(b) for b in bits]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [_Bits(b.value) for b in sent]
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                keys = np.concatenate(held)
+                keys, owner = (np.concatenate(c) for c in zip(*held, strict=True))
                 held.clear()
-                keys.sort()
+                order = np.argsort(keys)
+                keys, owner = keys[order], owner[order]
                 new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
                 n, keys = np.diff(np.r_[new, len(keys)]), keys[new].view(np.int64)
+                owner = np.minimum.reduceat(owner, new) if len(new) else owner
+                both = n << OWNER_BITS | owner
                 for i in range(0, len(keys), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in (keys, n)], ["key", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in (keys, both)], ["key", "both"])
 
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
             hashes = part.phrases()
-            if not filters:
-                held.append(hashes[0])
-            else:
+            places = [np.ones(len(hashes[0]), dtype=bool)]
+            if filters:
                 places = None
                 for bits in filters:
                     places = _offered(part, hashes, bits, places, words_only)
-                held += [hashes[size - 1][places[size - 1]] for size in sizes]
-            if sum(map(len, held)) >= BUFFER:
+            for size in sizes:
+                at = np.flatnonzero(places[size - 1])
+                held.append((hashes[size - 1][at], part.owner[part.row[at]]))
+            if sum(len(k) for k, _ in held) >= BUFFER:
                 yield from flush()
         yield from flush()
 
-    return _summed(docs.mapInArrow(scan, "key long, n long"), "n", "key")
+    # a key comes a few times from a task, so nothing is added before the exchange
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = F.col("both")
+    return docs.mapInArrow(scan, "key long, both long").repartition(parts, "key").groupBy("key").agg(
+        F.sum(F.shiftright(both, OWNER_BITS)).alias("n"), F.min(both.bitwiseAND((1 << OWNER_BITS) - 1)).alias("owner")
+    )
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -219,78 +227,64 @@ def _proposed(rows: DataFrame, rate: int, lowered: int) -> DataFrame:
 
 
 def _closed(rows: DataFrame, support: int, rate: int, lowered: int) -> tuple[DataFrame, list[int]]:
-    """Hashes of all frequent phrases, and how many frequent phrases each full pass found that were not proposed to it."""
+    """(key, n, owner) of all frequent phrases, and how many of them each full pass found that were not proposed to it."""
     proposed = _proposed(rows, rate, lowered)
     first = _filter(proposed) or [bytes(BLOCK)]
-    counted = cut_lineage(_count(rows, [first], range(1, LONGEST + 1)).where(F.col("n") >= support).select("key"))
+    counted = cut_lineage(_count(rows, [first], range(1, LONGEST + 1)).where(F.col("n") >= support))
     failures = [counted.join(proposed, "key", "left_anti").count()]
     discard(proposed)
     if failures[0]:
         # phrases that this pass counts are known to it, so it reaches every size and leaves no border open
-        more = cut_lineage(_count(rows, [first, _filter(counted)], range(2, LONGEST + 1)).where(F.col("n") >= support).select("key"))
+        more = cut_lineage(_count(rows, [first, _filter(counted)], range(2, LONGEST + 1)).where(F.col("n") >= support))
         failures.append(more.count())
         counted = counted.unionByName(more)
     return counted, failures
 
 
+def _owned(counted: DataFrame) -> DataFrame:
+    """Keys that name a phrase and its owner."""
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, owner = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "owner"))
+            yield pa.RecordBatch.from_arrays([pa.array(mix(key, owner).view(np.int64))], ["key"])
+
+    return counted.select("key", "owner").mapInArrow(both, "key long")
+
+
 def _spelled(rows: DataFrame, bits: list[bytes]) -> DataFrame:
-    """(lang, phrase, a): counts, by their words, of the phrases the filter knows; of all words together under a null phrase."""
+    """(key, lang, phrase, n): the words of the phrases that a text owns, as the filter tells; and n words in all per language.
+
+    Only texts of the owning share spell a phrase, a task once, so few rows come for a phrase however frequent it is.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, total = _Bits(sent.value), _Held(), {}
+        known, seen, total = _Bits(sent.value), set(), {}
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
-            hashes, others = part.phrases(), part.phrases(1)
-            for size, places in enumerate(_offered(part, hashes, known), 1):
-                at = np.flatnonzero(places)
-                at = at[known.has(hashes[size - 1][at])]
-                held.add(part, size, at, hashes[size - 1][at], others[size - 1][at])
+            found = []
+            for size, keys in enumerate(part.phrases(), 1):
+                at = np.flatnonzero(part.inside(size))
+                at = at[known.has(mix(keys[at], part.owner[part.row[at]].view(np.uint64)))]
+                own, first = np.unique(keys[at], return_index=True)
+                for key, i in zip(own.view(np.int64).tolist(), at[first].tolist(), strict=True):
+                    if key not in seen:
+                        seen.add(key)
+                        found.append((key, part.langs[part.row[i]], part.spell(i, size)))
+            if len(seen) >= HELD:
+                seen.clear()
+            if found:
+                key, lang, phrase = zip(*found, strict=True)
+                columns = [pa.array(key, pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(key), pa.int64())], ["key", "lang", "phrase", "n"])
             for lang, n in zip(part.langs, part.sizes.tolist(), strict=True):
                 total[lang] = total.get(lang, 0) + n
-            if len(held.keys) >= HELD:
-                yield from held.flush()
-        yield from held.flush()
         if total:
-            langs = pa.array(list(total), pa.string())
-            yield pa.RecordBatch.from_arrays([langs, pa.nulls(len(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "a"])
-
-    return _summed(rows.mapInArrow(scan, "lang string, phrase string, a long"), "a", "lang", "phrase")
-
-
-class _Held:
-    """Counts of phrases that a task has spelled, each once; two hashes of 64 bits tell them apart."""
-
-    def __init__(self) -> None:
-        self.keys = self.others = np.zeros(0, dtype=np.uint64)
-        self.at = self.n = np.zeros(0, dtype=np.int64)  # of each key its phrase; of each phrase its count
-        self.spelled: list[tuple[str, bytes]] = []
-
-    def add(self, part: _Slice, size: int, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-        order = np.argsort(a, kind="stable")
-        at, a, b = at[order], a[order], b[order]
-        # two phrases that share the first hash may come in several stretches, each with its count
-        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(at)])
-        n, at, a, b = np.diff(np.r_[new, len(at)]), at[new], a[new], b[new]
-        where = np.minimum(np.searchsorted(self.keys, a), max(len(self.keys) - 1, 0))
-        old = (self.keys[where] == a) & (self.others[where] == b) if len(self.keys) else np.zeros(len(a), dtype=bool)
-        np.add.at(self.n, self.at[where[old]], n[old])
-        fresh = ~old
-        numbers = len(self.spelled) + np.arange(int(fresh.sum()))
-        self.spelled += [(part.langs[part.row[i]], part.spell(i, size)) for i in at[fresh].tolist()]
-        self.n = np.r_[self.n, n[fresh]]
-        into = np.searchsorted(self.keys, a[fresh])
-        self.keys, self.others, self.at = (
-            np.insert(held, into, more) for held, more in ((self.keys, a[fresh]), (self.others, b[fresh]), (self.at, numbers))
-        )
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(self.spelled), 1 << 15):
-            lang, phrase = zip(*self.spelled[i : i + (1 << 15)], strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(self.n[i : i + (1 << 15)])], ["lang", "phrase", "a"]
-            )
-        self.__init__()
+            none = [pa.nulls(len(total), t) for t in (pa.int64(), pa.string())]
+            langs, n = pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())
+            yield pa.RecordBatch.from_arrays([none[0], langs, none[1], n], ["key", "lang", "phrase", "n"])
+
+    return rows.mapInArrow(scan, "key long, lang string, phrase string, n long").groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, rate: int = RATE, lowered: int = LOWERED) -> DataFrame:
@@ -301,9 +295,11 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, rate: int = RATE,
     count. A null text has no words, a null language is ``und``.
     """
     rows = _read(docs)
-    keys, _ = _closed(rows, support, rate, lowered)
-    bits = _filter(keys) or [bytes(BLOCK)]
-    return cut_lineage(_spelled(rows, bits).where((F.col("a") >= support) | F.col("phrase").isNull()))
+    counted, _ = _closed(rows, support, rate, lowered)
+    bits = _filter(_owned(counted)) or [bytes(BLOCK)]
+    counts = counted.select("key", F.col("n").alias("a"))
+    spelled = lookup(_spelled(rows, bits), counts, "key").select("lang", "phrase", F.coalesce("a", "n").alias("a"))
+    return cut_lineage(spelled.where("a is not null"))
 
 
 def collocations(
