@@ -119,6 +119,13 @@ def test_token_outside_the_vocabulary_raises(spark, vocab):
         W.token_ids(rows, ["id"], vocab).collect()
 
 
+def test_compression_distance_of_a_null_text(spark):
+    df = spark.createDataFrame([(1, "abc"), (2, None), (3, "abd")], "id long, text string")
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (1, 3)], "left long, right long")
+    got = {(r.left, r.right): r.distance for r in pair_compression_distance(df, pairs).collect()}
+    assert got[1, 2] is None and got[2, 3] is None and got[1, 3] is not None
+
+
 def test_compression_distance(spark):
     texts = {"x": "abc" * 50, "y": "abc" * 40 + "é", "z": ""}
     c = lambda s: len(bz2.compress(s.encode()))
