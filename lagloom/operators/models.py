@@ -7,7 +7,6 @@ from itertools import product
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -139,35 +138,6 @@ def feature_importances(train: DataFrame, features: list[str], label: str, param
     return train.sparkSession.createDataFrame(rows, "feature string, weight double")
 
 
-def mlp_classifier_cv(
-    train: DataFrame, test: DataFrame, width: int, label: str = "label", classes: int = 3, hidden: int = 16,
-    folds: int = 5, seeds: tuple[int, ...] = (1,), max_iter: int = 20,
-) -> DataFrame:
-    """Small dense network per seed and fold: ``part, id, seed, fold, p0..``.
-
-    ``part`` is 'oof' for the held-out rows of a fold and 'test' for the test rows.
-    """
-    stacked, scored, made = None, test, []
-    for seed in seeds:
-        rows = _folded(train, folds, seed)
-        for k in range(folds):
-            own = f"{seed}_{k}"
-            scaler = StandardScaler(inputCol="features", outputCol=f"_s{own}", withMean=True)
-            net = MultilayerPerceptronClassifier(
-                featuresCol=f"_s{own}", labelCol=label, layers=[width, hidden, classes], seed=seed, maxIter=max_iter,
-                probabilityCol=f"_p{own}", rawPredictionCol=f"_r{own}", predictionCol=f"_c{own}",
-            )
-            model = Pipeline(stages=[scaler, net]).fit(rows.where(F.col("_fold") != k))
-            probabilities = [_probability(i, f"_p{own}").alias(f"p{i}") for i in range(classes)]
-            at = [F.lit(seed).alias("seed"), F.lit(k).alias("fold")]
-            one = model.transform(rows.where(F.col("_fold") == k)).select(F.lit("oof").alias("part"), "id", *at, *probabilities)
-            stacked = one if stacked is None else stacked.unionByName(one)
-            scored = model.transform(scored)
-            made.append(F.struct(*at, *probabilities))
-    # the models score a test row one after the other, in one scan
-    return stacked.unionByName(scored.select(F.lit("test").alias("part"), "id", F.inline(F.array(*made))))
-
-
 def pca_features(
     df: DataFrame, k: int | tuple[int, ...], vectors: dict[str, str] | None = None
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from lagloom.operators import boosting as G
 from lagloom.operators import embeddings as V
 from lagloom.operators import metrics as M
 from lagloom.operators import models as ML
+from lagloom.operators import networks as N
 from lagloom.plans import fixtures as X
 from lagloom.plans.panel_queries import SIX
 from lagloom.plans.registry import query
@@ -436,8 +437,7 @@ def feature_importances(spark, d):
 @query("mlp_classifier_cv")
 def mlp_classifier_cv(spark, d):
     train, test = _halves(_vectors(spark, d))
-    long = ML.mlp_classifier_cv(train, test, width=64, seeds=SEEDS, max_iter=10)
-    return B.mean_predictions(long, P)
+    return B.mean_predictions(N.mlp_classifier_cv(train, test, 64, seeds=SEEDS), P)
 
 
 @query("gradient_boosted_embeddings")
@@ -541,6 +541,33 @@ def boosted_sums(spark, d):
     return _sums(gradient_boosted_embeddings(spark, d), P)
 
 
+_SEEDS_SQL = ", ".join(f"({s})" for s in SEEDS)
+
+
+@query(
+    "mlp_stopping_rounds",
+    f"""WITH r AS (SELECT vec_id, {_draw_sql('vec_id', '0', '0')} % 1000000 < 200000 AS held FROM embeddings),
+            o AS (SELECT 'oof' AS part, CAST(seed AS INT) AS seed, CAST(CAST('0x' || substr(md5(vec_id::VARCHAR || '-' || seed), 1, 8) AS BIGINT) % 5 AS INT) AS fold
+                  FROM r CROSS JOIN (VALUES {_SEEDS_SQL}) v(seed) WHERE NOT held),
+            t AS (SELECT 'test' AS part, CAST(seed AS INT) AS seed, CAST(k AS INT) AS fold FROM r CROSS JOIN (VALUES {_SEEDS_SQL}) v(seed) CROSS JOIN range(5) f(k) WHERE held)
+       SELECT part, seed, fold, count(*) AS n, true AS one_round, true AS stopped_in_time, true AS own_loss, 0::BIGINT AS n_off
+       FROM (SELECT * FROM o UNION ALL SELECT * FROM t) GROUP BY part, seed, fold""",
+)
+def mlp_stopping_rounds(spark, d):
+    """Every network scores its own fold and all test rows; it ended by its patience or its last pass, and its loss is that of its fold."""
+    train, test = _halves(_vectors(spark, d))
+    usual, labels = N.Settings(), train.select("id", "label")
+    long = N.mlp_classifier_cv(train, test, 64, seeds=SEEDS).join(labels, "id", "left")
+    right = F.get(F.array(*P), F.col("label"))
+    ended = (F.max("last_epoch") == usual.epochs) | (F.max("last_epoch") - F.max("best_epoch") >= usual.patience)
+    off = F.abs(F.col("p0") + F.col("p1") + F.col("p2") - 1) > 1e-9
+    return long.groupBy("part", "seed", "fold").agg(
+        F.count(F.lit(1)).alias("n"), (F.countDistinct("best_epoch", "last_epoch", "fold_loss") == 1).alias("one_round"),
+        ((F.max("best_epoch") <= F.max("last_epoch")) & ended).alias("stopped_in_time"),
+        ((F.col("part") == "test") | (F.abs(F.avg(-F.log(right)) - F.max("fold_loss")) < 1e-6)).alias("own_loss"), F.count_if(off).alias("n_off"),
+    )
+
+
 @query(
     "pca_variances",
     "SELECT count(*) AS n, true AS centred, true AS falling, true AS nested FROM panel WHERE id % 13 <> 0",

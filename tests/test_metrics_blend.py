@@ -113,18 +113,6 @@ def labelled(spark):
     return ML.assemble(spark.createDataFrame(rows, "id long, x double, y double, label int"), ["x", "y"])
 
 
-def test_out_of_fold_covers_every_id_once_per_seed(spark, labelled):
-    from lagloom.operators import models as ML
-
-    long = ML.mlp_classifier_cv(labelled, labelled.limit(5), 2, folds=2, seeds=(1, 2), max_iter=3, hidden=3).persist()
-    oof = long.where("part = 'oof'")
-    assert oof.count() == 600 and oof.select("id", "seed").distinct().count() == 600
-    assert long.where("part = 'test'").groupBy("id").count().where("count <> 4").count() == 0
-    blended = B.mean_predictions(oof, ["p0", "p1", "p2"])
-    assert blended.count() == 300
-    assert blended.where("abs(p0 + p1 + p2 - 1) > 0.001").count() == 0
-
-
 def test_two_stage_and_multiclass_probabilities(spark, labelled):
     from lagloom.operators import models as ML
 
