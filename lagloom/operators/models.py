@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
@@ -136,21 +135,3 @@ def feature_importances(train: DataFrame, features: list[str], label: str, param
     weights = model.featureImportances.toArray()
     rows = [(name, float(w)) for name, w in zip(features, weights, strict=True)]
     return train.sparkSession.createDataFrame(rows, "feature string, weight double")
-
-
-def pca_features(
-    df: DataFrame, k: int | tuple[int, ...], vectors: dict[str, str] | None = None
-) -> DataFrame:
-    """Projections of the centred rows on the first components: ``id, pca<k>_0, ...`` for each number in ``k``.
-
-    ``vectors`` names the vector columns by the prefix of their results. A column is fitted once, for the largest
-    number: fewer components are the first of these. All columns are projected in one scan.
-    """
-    sizes = (k,) if isinstance(k, int) else tuple(k)
-    scored, out = df, []
-    for n, (prefix, vector) in enumerate((vectors or {"pca": "features"}).items()):
-        centred = StandardScaler(inputCol=vector, outputCol=f"_c{n}", withMean=True, withStd=False)
-        steps = Pipeline(stages=[centred, PCA(k=max(sizes), inputCol=f"_c{n}", outputCol=f"_p{n}")])
-        scored = steps.fit(df).transform(scored)
-        out += [_probability(i, f"_p{n}").alias(f"{prefix}{size}_{i}") for size in sizes for i in range(size)]
-    return scored.select("id", *out)

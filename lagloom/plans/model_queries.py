@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lagloom.functions import arrays as A
 from lagloom.operators import blend as B
 from lagloom.operators import boosting as G
+from lagloom.operators import components as C
 from lagloom.operators import embeddings as V
 from lagloom.operators import metrics as M
 from lagloom.operators import models as ML
@@ -461,7 +462,7 @@ def _panel_vectors(spark, d) -> DataFrame:
 @query("pca_features")
 def pca_features(spark, d):
     """All columns, and each of the six groups by itself: two and three components."""
-    return ML.pca_features(_panel_vectors(spark, d), (2, 3), {"pca": "features"} | {f"core{g}_pca": f"g{g}" for g in SIX})
+    return C.pca_features(_panel_vectors(spark, d), (2, 3), {"pca": "features"} | {f"core{g}_pca": f"g{g}" for g in SIX})
 
 
 def _level_values(sums: DataFrame, cuts: list) -> DataFrame:
@@ -574,7 +575,7 @@ def mlp_stopping_rounds(spark, d):
 )
 def pca_variances(spark, d):
     """Components are centred, the variance falls, and two components are the first two of three."""
-    got = ML.pca_features(_panel_vectors(spark, d), (2, 3))
+    got = C.pca_features(_panel_vectors(spark, d), (2, 3))
     spread = F.var_pop("pca3_0")
     return got.agg(
         F.count(F.lit(1)).alias("n"),
@@ -600,3 +601,28 @@ def span_vector_mean(spark, d):
     rows = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(lo).alias("first"), F.lit(k).alias("n")) for r, lo, k in (("a", 2, 2), ("b", 8, 1), ("p", 5, 3))])
     means = V.span_vector_mean(X.tokens(spark, d).select("doc_id", "tok", vector.alias("v")), X.spans(spark, d).select("doc_id", F.inline(rows)))
     return means.select("doc_id", "role", *[F.round(F.get("mean", F.lit(i)), 6).alias(f"m{i}") for i in range(3)])
+
+
+@query(
+    "pca_residual_flags",
+    "SELECT unnest(['pca', "
+    + ", ".join(f"'core{g}_pca'" for g in SIX)
+    + "]) AS part, 3 AS n_components, true AS orthonormal, true AS satisfied, true AS told FROM (SELECT count(*) AS n FROM panel WHERE id % 13 <> 0) WHERE n > 0",
+)
+def pca_residual_flags(spark, d):
+    """Of every group of columns: the components are orthonormal and the covariance only stretches them, by the variance told."""
+    rows = _panel_vectors(spark, d)
+    vectors = {"pca": "features"} | {f"core{g}_pca": f"g{g}" for g in SIX}
+    found = C.fit_components(rows, 3, vectors)
+    flags = []
+    for part, c in found.items():
+        off = np.abs(c.directions.T @ c.directions - np.eye(c.directions.shape[1])).max()
+        flags.append((part, c.directions.shape[1], bool(off < 1e-9), bool(c.residual <= 1e-6 * c.variances[0]), c.variances.tolist()))
+    scored = C.pca_features(rows, 3, vectors)
+    told = scored.agg(*(F.array(*(F.var_pop(f"{p}3_{i}") for i in range(3))).alias(p) for p in vectors))
+    seen = told.select(F.inline(F.array(*(F.struct(F.lit(p).alias("part"), F.col(p).alias("seen")) for p in vectors))))
+    table = spark.createDataFrame(flags, "part string, n_components int, orthonormal boolean, satisfied boolean, variances array<double>")
+    near = lambda a, b: F.abs(a - b) <= 1e-6 * F.col("variances")[0]
+    return table.join(seen, "part").select(
+        "part", "n_components", "orthonormal", "satisfied", F.forall(F.zip_with("variances", "seen", near), lambda x: x).alias("told")
+    )

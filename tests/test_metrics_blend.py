@@ -128,23 +128,6 @@ def test_two_stage_and_multiclass_probabilities(spark, labelled):
     assert top.orderBy(F.desc("weight")).first().feature == "x"
 
 
-def test_pca_is_centred(spark, labelled):
-    from lagloom.operators import models as ML
-
-    got = ML.pca_features(labelled, 2)
-    means = got.agg(F.avg("pca2_0"), F.avg("pca2_1")).first()
-    assert got.count() == 300 and abs(means[0]) < 1e-9 and abs(means[1]) < 1e-9
-
-
-def test_groups_of_components_share_one_scan(spark, labelled):
-    from lagloom.operators import models as ML
-
-    both = labelled.withColumn("again", F.col("features"))
-    got = ML.pca_features(both, (1, 2), {"pca": "features", "core1_pca": "again"})
-    assert got.columns == ["id", "pca1_0", "pca2_0", "pca2_1", "core1_pca1_0", "core1_pca2_0", "core1_pca2_1"]
-    assert got.where("pca1_0 <> pca2_0 or abs(pca2_1 - core1_pca2_1) > 1e-9").count() == 0
-
-
 def test_repeated_regressions_score_every_row_once(spark, labelled):
     from lagloom.operators import models as ML
 
