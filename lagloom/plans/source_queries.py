@@ -10,7 +10,7 @@ from lagloom.operators.metrics import confusion_by_group, join_gold_system
 from lagloom.plans import fixtures as X
 from lagloom.plans.registry import query
 from lagloom.session import shared_folder
-from lagloom.sources import scans, sinks
+from lagloom.sources import commits, scans, sinks
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
 
@@ -147,7 +147,9 @@ def sink_sorted_table(spark, d):
 
 @query("sink_snapshot", "SELECT id, target FROM panel_target")
 def sink_snapshot(spark, d):
-    return sinks.sink_snapshot(X.panel(spark, d).select("id", "target"), _folder(spark, "snapshot"))
+    path = _folder(spark, "snapshot")
+    first = commits.replace_snapshot(X.panel(spark, d).select("id", "target").where("id % 2 = 0"), path)
+    return commits.replace_snapshot(first.unionByName(X.panel(spark, d).select("id", "target").where("id % 2 <> 0")), path)
 
 
 @query(
@@ -158,6 +160,6 @@ def sink_snapshot(spark, d):
 def sink_metric_append(spark, d):
     path = _folder(spark, "metrics")
     scored = confusion_by_group(join_gold_system(X.gold(spark, d), X.system(spark, d))).where("grp = 'Overall'")
-    for r in range(2):
-        sinks.sink_metric_append(scored.select(F.lit(r).cast("bigint").alias("round"), "tp"), path)
-    return spark.read.parquet(path)
+    for r in (0, 1, 1):  # a repeated run adds nothing
+        commits.append_once(scored.select(F.lit(r).cast("bigint").alias("round"), "tp"), path, f"round-{r}")
+    return commits.read_runs(spark, path)
