@@ -35,7 +35,8 @@ RATE, LOWERED = 16, 2  # one document in RATE is sampled; a proposal has LOWERED
 FILTER, BLOCK = 1 << 27, 1 << 16  # most bytes of a filter, bytes of it made together
 BUFFER, HELD = 3 << 20, 1 << 19  # hashes that a task holds before it counts them; phrases that it remembers having spelled
 OWNER_BITS = 8
-SLICE = 2 << 20
+RANGE_BITS = 3  # first bits of a hash: a task sorts and counts the hashes it holds range by range
+SLICE = 1 << 19
 
 UPPER = bytes(range(65, 91))
 PLAIN = bytes.maketrans(UPPER + b"\t.,;:!?\x0b\x0c\r", UPPER.lower() + b" " + b"\n" * 9)
@@ -44,8 +45,8 @@ PLAIN = bytes.maketrans(UPPER + b"\t.,;:!?\x0b\x0c\r", UPPER.lower() + b" " + b"
 class _Bits:
     """A Bloom filter of two probes; without bits everything passes."""
 
-    def __init__(self, blocks: list[bytes]) -> None:
-        self.bits = np.frombuffer(b"".join(blocks), dtype=np.uint8)
+    def __init__(self, bits: bytes) -> None:
+        self.bits = np.frombuffer(bits, dtype=np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), dtype=bool)
@@ -61,7 +62,11 @@ def _probes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _filter(keys: DataFrame) -> list[bytes] | None:
-    """Bits of the keys in blocks: 16 to 32 bits a key, up to FILTER bytes in all. None if there is no key."""
+    """Bits of the keys in blocks: 16 to 32 bits a key, up to FILTER bytes in all. None if there is no key.
+
+    With a column ``owner``, of the keys mixed with it. They are mixed here: a Python step before this one would have every
+    task hold two Python workers, and the executor keeps them.
+    """
     count = keys.count()
     if not count:
         return None
@@ -69,7 +74,8 @@ def _filter(keys: DataFrame) -> list[bytes] | None:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            probes = np.concatenate(_probes(batch.column("key").to_numpy().view(np.uint64), size * 8))
+            parts = [c.to_numpy().view(np.uint64) for c in batch.columns]
+            probes = np.concatenate(_probes(mix(*parts) if len(parts) > 1 else parts[0], size * 8))
             yield pa.RecordBatch.from_arrays([pa.array(probes // (BLOCK * 8)), pa.array(probes % (BLOCK * 8))], ["block", "bit"])
 
     def block(table: pa.Table) -> pa.Table:
@@ -78,7 +84,8 @@ def _filter(keys: DataFrame) -> list[bytes] | None:
         packed = np.packbits(bits, bitorder="little").tobytes()
         return pa.table({"block": table.column("block")[:1], "bits": pa.array([packed], pa.binary())})
 
-    rows = keys.select("key").mapInArrow(places, "block long, bit long").groupBy("block").applyInArrow(block, "block long, bits binary").toArrow()
+    named = keys.select("key", *(c for c in keys.columns if c == "owner"))
+    rows = named.mapInArrow(places, "block long, bit long").groupBy("block").applyInArrow(block, "block long, bits binary").toArrow()
     made = dict(zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist(), strict=True))
     return [made.get(i, bytes(BLOCK)) for i in range(size // BLOCK)]
 
@@ -108,7 +115,8 @@ class _Slice:
         table = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         data = np.frombuffer(self.bytes, dtype=np.uint8)
         up, down = _powers(len(data))
-        sums = np.r_[np.zeros(1, dtype=np.uint64), np.cumsum(table[data] * up)]
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(table[data] * up, out=sums[1:])
         own = (sums[self.end] - sums[self.begin]) * down[self.begin]
         known = {lang: xxhash.xxh64_intdigest(lang.encode(), seed) for lang in set(self.langs)}
         return mix(own, np.array([known[lang] for lang in self.langs], dtype=np.uint64)[self.row])
@@ -169,16 +177,16 @@ def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: b
 
     ``owner`` is the least share of the texts, of 2 ** OWNER_BITS shares by their content, that holds the phrase.
     """
-    sent = [docs.sparkSession.sparkContext.broadcast(b) for b in bits]
+    sent = [docs.sparkSession.sparkContext.broadcast(b"".join(b)) for b in bits]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [_Bits(b.value) for b in sent]
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                keys, owner = (np.concatenate(c) for c in zip(*held, strict=True))
-                held.clear()
+            for low in range(1 << RANGE_BITS if held else 0):
+                own = [k >> np.uint64(64 - RANGE_BITS) == low for k, _ in held]
+                keys, owner = (np.concatenate([c[at] for c, at in zip(cs, own, strict=True)]) for cs in zip(*held, strict=True))
                 order = np.argsort(keys)
                 keys, owner = keys[order], owner[order]
                 new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
@@ -187,6 +195,7 @@ def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: b
                 both = n << OWNER_BITS | owner
                 for i in range(0, len(keys), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in (keys, both)], ["key", "both"])
+            held.clear()
 
         for batch in slices(batches, "text", SLICE):
             part = _Slice(batch)
@@ -198,7 +207,7 @@ def _count(docs: DataFrame, bits: list[list[bytes]], sizes: range, words_only: b
                     places = _offered(part, hashes, bits, places, words_only)
             for size in sizes:
                 at = np.flatnonzero(places[size - 1])
-                held.append((hashes[size - 1][at], part.owner[part.row[at]]))
+                held.append((hashes[size - 1][at], part.owner[part.row[at]].astype(np.uint8)))
             if sum(len(k) for k, _ in held) >= BUFFER:
                 yield from flush()
         yield from flush()
@@ -235,28 +244,18 @@ def _closed(rows: DataFrame, support: int, rate: int, lowered: int) -> tuple[Dat
     discard(proposed)
     if failures[0]:
         # phrases that this pass counts are known to it, so it reaches every size and leaves no border open
-        more = cut_lineage(_count(rows, [first, _filter(counted)], range(2, LONGEST + 1)).where(F.col("n") >= support))
+        more = cut_lineage(_count(rows, [first, _filter(counted.select("key"))], range(2, LONGEST + 1)).where(F.col("n") >= support))
         failures.append(more.count())
         counted = counted.unionByName(more)
     return counted, failures
 
 
-def _owned(counted: DataFrame) -> DataFrame:
-    """Keys that name a phrase and its owner."""
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, owner = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "owner"))
-            yield pa.RecordBatch.from_arrays([pa.array(mix(key, owner).view(np.int64))], ["key"])
-
-    return counted.select("key", "owner").mapInArrow(both, "key long")
-
-
 def _spelled(rows: DataFrame, bits: list[bytes]) -> DataFrame:
     """(key, lang, phrase, n): the words of the phrases that a text owns, as the filter tells; and n words in all per language.
 
     Only texts of the owning share spell a phrase, a task once, so few rows come for a phrase however frequent it is.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(bits)
+    sent = rows.sparkSession.sparkContext.broadcast(b"".join(bits))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, total = _Bits(sent.value), set(), {}
@@ -296,7 +295,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, rate: int = RATE,
     """
     rows = _read(docs)
     counted, _ = _closed(rows, support, rate, lowered)
-    bits = _filter(_owned(counted)) or [bytes(BLOCK)]
+    bits = _filter(counted.select("key", "owner")) or [bytes(BLOCK)]
     counts = counted.select("key", F.col("n").alias("a"))
     spelled = lookup(_spelled(rows, bits), counts, "key").select("lang", "phrase", F.coalesce("a", "n").alias("a"))
     return cut_lineage(spelled.where("a is not null"))

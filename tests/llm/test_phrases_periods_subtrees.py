@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,35 @@ def test_a_full_filter_only_costs_rows(spark, docs, monkeypatch):
     assert collocations(docs) == expected
 
 
+def test_no_task_holds_two_python_workers(docs, monkeypatch):
+    """Keys of a filter come from a table: made by a Python step they would chain two of them in a task."""
+    plans, plain = [], phrases._filter
+    monkeypatch.setattr(phrases, "_filter", lambda keys: plans.append(keys._jdf.queryExecution().toString()) or plain(keys))
+    assert collocations(docs) and len(plans) >= 3
+    assert not any("InArrow" in p for p in plans)
+
+
+def test_a_task_that_counts_stays_small(spark, docs, monkeypatch):
+    """7 million places, more than a task holds at once, all counted in less than 100 MB besides its input."""
+    words = np.array([f"w{i}" for i in range(50_000)])[np.random.default_rng(11).integers(0, 50_000, (6000, 300))]
+    texts = pa.array([" ".join(w) for w in words.tolist()])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), texts, pa.array(["en"] * 6000)], ["doc_id", "text", "lang"])
+    scans, none = [], spark.createDataFrame([], "key long, both long")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", lambda self, f, schema: scans.append(f) or none)
+        phrases._count(docs, [[b"\xff" * phrases.BLOCK]], range(1, phrases.LONGEST + 1))
+    places = 0
+    tracemalloc.start()
+    try:
+        for out in scans[0](iter([batch])):
+            places += int((out.column("both").to_numpy() >> phrases.OWNER_BITS).sum())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert places == 6000 * (300 + 299 + 298 + 297) > 2 * phrases.BUFFER
+    assert peak < 100e6
+
+
 def test_phrases_edge(edge, empty):
     assert collocations(empty) == [] and collocations(edge) == plain_phrases([(r[2], r[1]) for r in EDGE])
 
