@@ -133,8 +133,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> C
     return fit([list(r.features) for r in rows], [r.domain for r in rows])
 
 
-def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """``docs`` with _tokens (words) and _posterior; a text without words has 0 tokens and the domains' base rates."""
+def with_posteriors(docs: DataFrame, model: Classifier, tokens: str = "_tokens", posterior: str = "_posterior") -> DataFrame:
+    """``docs`` with ``tokens`` (words) and ``posterior``; a text without words has 0 tokens and the domains' base rates."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,10 +143,10 @@ def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
             found = [features(t or b"") for t in raw(batch.column("text"))]
             p = model.posteriors([f for _, f in found])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([n for n, _ in found], pa.int64()), pa.array(list(p), pa.list_(pa.float64()))], [*names, "_tokens", "_posterior"]
+                [*batch.columns, pa.array([n for n, _ in found], pa.int64()), pa.array(list(p), pa.list_(pa.float64()))], [*names, tokens, posterior]
             )
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_tokens", LongType()), StructField("_posterior", ArrayType(DoubleType()))]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(tokens, LongType()), StructField(posterior, ArrayType(DoubleType()))]))
 
 
 @dataclass
@@ -245,9 +245,8 @@ def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float]) -> DataF
     members = cut_lineage(with_posteriors(docs.select("text"), model).select("_tokens", "_posterior"))
     rates = fit_rates(members, model.domains, shares)
     names = docs.columns
-    packed = fresh("_row", names)
-    # posteriors are found anew beside the rows: cheaper than moving texts to a join
-    scored = with_posteriors(docs.select(F.struct(*names).alias(packed), "text"), model)
-    times = copies(rates.of(F.col("_posterior"), F.col("_tokens")), f"{packed}.doc_id", "_tokens")
-    each = F.sequence(F.lit(1).cast("long"), "_copies")
-    return scored.withColumn("_copies", times).where("_copies > 0").withColumn("_copy", F.explode(each)).select(f"{packed}.*")
+    tokens, posterior, times, copy = (fresh(c, names) for c in ("_tokens", "_posterior", "_copies", "_copy"))
+    # posteriors are found anew beside the rows: cheaper than moving texts to a join; each text goes to Python once
+    scored = with_posteriors(docs, model, tokens, posterior)
+    rated = scored.withColumn(times, copies(rates.of(F.col(posterior), F.col(tokens)), "doc_id", tokens)).where(F.col(times) > 0)
+    return rated.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(names)

@@ -20,9 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from lagloom.llm.common import fresh, slices, texts
 from lagloom.operators.lookup import lookup
@@ -103,12 +102,21 @@ def _context(words: list[tuple[str, int, int]], low: int, high: int) -> int:
     return _hash(" ".join(w for w, _, _ in words[max(0, low) : high]))
 
 
+def _text_key(text: str) -> Column:
+    """Key of a text that copies share, found without Python: a stage then needs one Python worker a task."""
+    return F.xxhash64(text)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("text_key", _text_key("text"))
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Base spans of every text, and (entity, term, context) around them."""
     near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64())]))
     for batch in slices(batches, "text", 2 << 20):
-        ids, keys, found, around, sizes = [], [], [], [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        found, around, sizes = [], [], []
+        for text in batch.column("text").to_pylist():
             spans = base_spans(text)
             rows = []
             if spans:
@@ -120,13 +128,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     context = _context(words, at - WINDOW, after + WINDOW)
                     terms = {w for w, _, _ in words[max(0, at - WINDOW) : after + WINDOW] if len(w) >= LEAST}
                     rows += [{"entity": entity, "term": _hash(w), "context": context} for w in sorted(terms)]
-            ids.append(doc_id)
-            keys.append(_hash(text))
             found.append([{"kind": k, "start": a, "end": b} for a, b, k in spans])
             around.append(rows)
             sizes.append(text.count(" ") + 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(found, SPANS), pa.array(around, near), pa.array(sizes, pa.int64())],
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(found, SPANS), pa.array(around, near), pa.array(sizes, pa.int64())],
             ["doc_id", "text_key", "spans", "near", "words"],
         )
 
@@ -176,9 +182,8 @@ def disclosing_terms(
 
         known: dict[str, int | None] = {}
         for batch in slices(batches, "text", 2 << 20):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc_id, text, key in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "text_key")), strict=True):
                 words = _words(text, base_spans(text))
-                key = None
                 if len(known) > 1 << 17:
                     known.clear()
                 for i, (word, a, b) in enumerate(words):
@@ -191,7 +196,6 @@ def disclosing_terms(
                     term = known[word]
                     if term is None:
                         continue
-                    key = _hash(text) if key is None else key
                     contexts, rows = held.setdefault(term, (set(), []))
                     context = _context(words, i - window, i + window + 1)
                     contexts.add(context)
@@ -205,7 +209,7 @@ def disclosing_terms(
         held.update((term, (set(), [(None, None, term, None, None, None)])) for term in passed)
         yield from flush()
 
-    places = cut_lineage(texts(docs).mapInArrow(occurrences, "doc_id long, text_key long, term long, context long, start long, end long"))
+    places = cut_lineage(_keyed(docs).mapInArrow(occurrences, "doc_id long, text_key long, term long, context long, start long, end long"))
     # contexts are counted, not places, so copies of a text count once
     counted = places.select("term", "context").distinct().groupBy("term")
     n_t = counted.agg(F.count("context").alias("n_t"), F.max(F.col("context").isNull()).alias("passed")).where("not passed").drop("passed")
@@ -222,7 +226,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     Spans are in code points, end exclusive. Repeated rows have the same spans each. A null or empty text has none.
     """
-    scanned = cut_lineage(texts(docs).mapInArrow(
+    scanned = cut_lineage(_keyed(docs).mapInArrow(
         _scan, f"doc_id long, text_key long, spans {SPAN_TYPE}, near array<struct<entity:long,term:long,context:long>>, words long"
     ))
     found = disclosing_terms(docs, scanned)
@@ -278,11 +282,6 @@ def sanitise(docs: DataFrame) -> DataFrame:
     spans = cut_lineage(keyed.groupBy(key_name).agg(F.first(spans_name).alias(spans_name)))
     target = docs.schema
 
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
-            keys = pa.array([None if t is None else _hash(t) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*names, key_name])
-
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             out = []
@@ -302,5 +301,5 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, pa.int64()).cast(batch.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
-    wide = StructType([*target.fields, StructField(key_name, LongType())])
-    return docs.mapInArrow(key, wide).join(spans, key_name, "left").select(*names, spans_name).mapInArrow(replace, target)
+    keys = F.when(F.col("text").isNotNull(), _text_key("text"))
+    return docs.withColumn(key_name, keys).join(spans, key_name, "left").select(*names, spans_name).mapInArrow(replace, target)

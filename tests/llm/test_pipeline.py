@@ -32,3 +32,19 @@ def test_edge_tables(spark):
         assert out.columns == edge.columns, name
         out.collect()
         assert stage(spark, edge.limit(0), SF).count() == 0, name
+
+
+def test_one_python_worker_a_task_and_each_text_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") <= 1, name
+        assert "struct(" not in plan, name
+
+
+def test_own_columns_survive_mixing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "'a' as _tokens", "doc_id as _posterior", "1 as _copies", "2 as _copy")
+    plain = corpus_pipeline.mixed(spark, docs.drop("_tokens", "_posterior", "_copies", "_copy"), SF)
+    out = corpus_pipeline.mixed(spark, docs, SF)
+    assert out.columns == docs.columns and out.where("_tokens <> 'a' or _posterior <> doc_id or _copies <> 1 or _copy <> 2").isEmpty()
+    assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(r.doc_id for r in plain.select("doc_id").collect())
