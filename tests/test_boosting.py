@@ -108,6 +108,65 @@ def test_scans_do_not_grow_with_the_grid(rows, monkeypatch):
     assert out.getvalue().split("(1)")[0].count("Scan parquet") == 1
 
 
+def test_a_tree_of_few_bins_takes_one_scan_a_round(rows, monkeypatch):
+    calls = []
+    real = G.level_sums
+    monkeypatch.setattr(G, "level_sums", lambda *a: calls.append(a) or real(*a))
+    y = (F.col("label") > 0).cast("int")
+    deep = replace(PLAIN, depth=9, child=0.0, penalty=0.0)
+    G.fit(rows, "x", [G.Model(deep, y), G.Model(replace(deep, rate=0.1), y)])
+    assert len(calls) == PLAIN.rounds
+    monkeypatch.setattr(G, "HELD", 1)
+    calls.clear()
+    G.fit(rows, "x", [G.Model(deep, y), G.Model(replace(deep, rate=0.1), y)])
+    assert len(calls) == 2 * PLAIN.rounds  # what a task cannot hold at once takes more scans
+
+
+@pytest.mark.parametrize("limit", [1, 6, 40, 1 << 20])
+def test_rows_find_their_leaves_by_tables_of_any_size(limit):
+    rng = np.random.default_rng(3)
+    tree = G.Tree()
+    for node in range(60):
+        tree.split(node, int(rng.integers(4)), int(rng.integers(0, 255)), 1.0, (rng.random(), rng.random()))
+    tree.feature[7] = -1  # taken back
+    bins = rng.integers(0, 256, (4, 500)).astype(np.uint8)
+
+    def leaf(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] + int(row[tree.feature[node]] > tree.bin[node])
+        return node
+
+    want = [leaf(bins[:, i].astype(int)) for i in range(500)]
+    finder = G.Finder(tree, limit)
+    assert finder.leaves(bins).tolist() == want and np.asarray(finder.scores(bins)).tolist() == [tree.value[n] for n in want]
+    assert len(finder.nodes) <= limit
+
+
+def test_blocks_hold_targets_that_differ_by_more_than_their_gaps(rows):
+    models = [G.Model(PLAIN, F.col("label")), G.Model(PLAIN, F.when(F.col("id") % 3 > 0, 2 - F.col("label")))]
+    for kept in (models, models[1:]):
+        table = G.binned(rows, "x", kept, G.find_cuts(rows, "x"), [0.0] * len(kept)).collect()
+        assert all((r.targets is None) == (len(kept) == 1) for r in table)
+        got = {}
+        for r in table:
+            block = G.Block(r.asDict())
+            for m in range(len(kept)):
+                has, target = block.target(m)
+                got |= {(m, int(k)): t for k, t, h in zip(block.key.view(np.int64), target, has) if h}
+        want = rows.select(F.xxhash64("id").alias("k"), *[m.target.alias(f"t{i}") for i, m in enumerate(kept)]).collect()
+        assert got == {(m, r.k): r[f"t{m}"] for r in want for m in range(len(kept)) if r[f"t{m}"] is not None}
+
+
+def test_cuts_explode_no_row(spark, rows, monkeypatch):
+    cuts = G.find_cuts(rows, "x", 8)
+    monkeypatch.setattr(G, "TOGETHER", 3)
+    assert [c.tolist() for c in G.find_cuts(rows, "x", 8)] == [c.tolist() for c in cuts] and len(cuts) == 4
+    assert cuts[2].tolist() == [0.0, 1.0, 2.0] and cuts[3].tolist() == [1.0]
+    monkeypatch.setattr(F, "posexplode", None)
+    G.find_cuts(rows, "x", 8)
+
+
 def test_probabilities_add_up_as_they_are(rows):
     p = G.joint_multiclass(rows, rows, settings=replace(G.JOINT, rounds=8))
     assert p.count() == 240 and p.where("abs(p0 + p1 + p2 - 1) > 1e-12").count() == 0
