@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lagloom.operators import blend
 from lagloom.operators import boosting as G
 
 PLAIN = G.Settings(rounds=3, depth=3, rate=0.3, child=0.5, penalty=0.2, ridge=1.0, rows=1.0, columns=1.0)
@@ -158,6 +159,21 @@ def test_blocks_hold_targets_that_differ_by_more_than_their_gaps(rows):
         assert got == {(m, r.k): r[f"t{m}"] for r in want for m in range(len(kept)) if r[f"t{m}"] is not None}
 
 
+def test_held_out_rows_are_those_of_the_split_without_its_column(spark, rows, monkeypatch):
+    named = rows.withColumn("id", F.when(F.col("id") != 5, F.concat(F.lit("row "), F.col("id"))))
+    for df in (rows, named):
+        models = [G.Model(PLAIN, F.col("label"), (0.3, r)) for r in range(4)]
+        got = [set() for _ in models]
+        for r in G.binned(df, "x", models, G.find_cuts(df, "x"), [0.0] * 4).collect():
+            block = G.Block(r.asDict())
+            for m in range(4):
+                got[m] |= set(block.key[block.target(m)[0]].view(np.int64).tolist())
+        want = [{r.k for r in df.where(~blend.holdout_split(F.col("id"), 0.3, m)).select(F.xxhash64("id").alias("k")).collect()} for m in range(4)]
+        assert got == want and len(set(map(len, got))) > 1
+    monkeypatch.setattr(blend, "holdout_split", None)  # 20 digests a row as text took most of the time
+    assert G.bagged_regression(rows, rows, "label", repeats=2, settings=replace(PLAIN, loss="squared")).count() == 240
+
+
 def test_cuts_explode_no_row(spark, rows, monkeypatch):
     cuts = G.find_cuts(rows, "x", 8)
     monkeypatch.setattr(G, "TOGETHER", 3)

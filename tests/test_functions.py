@@ -110,3 +110,17 @@ def test_anonymise_replaces_full_name_then_parts(spark):
     rows = spark.createDataFrame([("Ann Lee met Lee and Ann.", "Ann Lee")], "t string, n string")
     got = rows.select(T.anonymise_name(F.col("t"), F.col("n"), "x")).first()[0]
     assert got == "x met x and x."
+
+
+def test_digests_side_by_side_are_those_of_hashlib():
+    import hashlib
+
+    import pyarrow as pa
+
+    from lagloom.functions import digests
+
+    texts = ["x" * n for n in (*range(0, 70), 118, 119, 120, 200)] + ["\u00e4\u4e16", None, "1-2-3"] * 3
+    for own in (pa.array(texts), pa.array(["pad", *texts]).slice(1)):
+        got = digests.leading(own, ["", "-7-0", "-19-0"])
+        want = [[int(hashlib.md5(((t or "") + s).encode()).hexdigest()[:8], 16) for t in texts] for s in ("", "-7-0", "-19-0")]
+        assert got.tolist() == want
