@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,68 @@ def test_first_best_and_edges_equal_dictionaries(spark, seed, parts):
     assert L.verify_pairs(broken, df, N).count() < len(want)
 
 
+def test_matches_by_groups_are_those_of_one_pass(spark, monkeypatch):
+    df = spark.createDataFrame(make_rows(8), SCHEMA).repartition(5)
+    whole = sorted(tuple(r) for r in L.lag_match_first(df, N).collect())
+    calls, real = [], L._first_matches
+    monkeypatch.setattr(L, "_first_matches", lambda *a: calls.append(a) or real(*a))
+    monkeypatch.setattr(L, "SLICES", 2 * df.count())
+    got = sorted(tuple(r) for r in L.lag_match_first(df, N).collect())
+    assert got == whole and len(got) > 50 and len(calls) == 2
+
+
+def test_a_row_asks_once_for_slices_that_differ_by_zeros_at_their_end():
+    v = [0, 3, 0, 0, 5, 0, 0, 0, 7, 0, 0, 0]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([True]), pa.array([1], pa.int32()), pa.array([v]), pa.array([[1] * N])], ["is_train", "grp", "v", "first"]
+    )
+    slices = L.Slices(batch, N)
+    row, low, high, *_ = slices.prefixes(2)
+    # up to the 7, shifts 2 and 3; up to the 5, shifts 4 to 7; eight of them are asked for otherwise
+    assert [row.tolist(), low.tolist(), high.tolist()] == [[0, 0], [2, 4], [3, 7]]
+    row, shift, h1, h2, nz = slices.suffixes(2, 2)
+    assert shift.tolist() == [2, 3, 4] and nz.tolist() == [2, 2, 2] and len(set(h1.tolist())) == 3
+
+
+def test_nulls_and_short_rows_are_no_zeros():
+    def keys(v):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.bool_()), pa.array([0], pa.int32()), pa.array([v], pa.list_(pa.int64())), pa.array([[1] * N])], ["is_train", "grp", "v", "first"]
+        )
+        return tuple(L.Slices(batch, N).sums[0][0].tolist())
+
+    v = [1, 2, 0, 4] + [0] * 8
+    assert len({keys(v), keys(v[:-1]), keys([1, 2, None, 4] + [0] * 8), keys(v[:-1] + [None])}) == 4
+
+
+def test_written_keys_equal_slices(spark):
+    rows = [(1, [[0, 3, 3, 0, 12, 0, 7, 0], [0] * 8]), (2, [[5, None, 5, -2, 0, 1, 0, 9], [1, 2, 3, 4, 5, 6, 7, 8]])]
+    df = spark.createDataFrame(rows, "id long, series array<array<long>>")
+    got = {(r.id, r.grp, r["shift"]): r for r in L.lag_keys(df, 8).collect()}
+    assert len(got) == 2 * 2 * 4
+    for i, series in rows:
+        for g, v in enumerate(series):
+            ch = [x is not None and x > 0 and x != (-1 if k == 0 or v[k - 1] is None else v[k - 1]) for k, x in enumerate(v)]
+            for s in range(2, 6):
+                r, t = got[i, g, s], series[0][s - 2]
+                join = lambda a: "_".join(str(x) for x in a if x is not None)
+                ok = sum(ch[s:]) >= 2 and t is not None and t > 0
+                assert (r.suffix_nz, r.prefix_nz, r.target) == (sum(ch[s:]), sum(ch[: 8 - s]), t if ok else -1)
+                assert (r.suffix_key, r.prefix_key) == (join(v[s:]) if ok else "", join(v[: 8 - s]) if sum(ch[: 8 - s]) >= 2 else "")
+
+
+def test_tables_that_cut_lineage_drop_their_shuffle_files(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from lagloom import session
+
+    seen, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a: seen.append(spark.conf.get(session._CLEANUP)) or real(self, *a))
+    before = spark.conf.get(session._CLEANUP)
+    assert session.cut_lineage(spark.range(100, numPartitions=3).repartition(5, "id")).count() == 100
+    assert seen == ["true"] and spark.conf.get(session._CLEANUP) == before
+
+
 def cascade(rows, max_offset, first_to):
     """Per part: every pass and offset in turn, unique keys on both sides only."""
     out = {}
