@@ -200,3 +200,21 @@ def test_wildcard_with_very_long_terms_and_many_alike(spark):
     assert got == {
         "a0000**": "a00000z", "*0000**": "a00000z", "a***0*z": "a00000z", "a******": "a00000z", long.replace("b", "*"): long,
     }
+
+
+def test_depths_read_all_words_once(spark, monkeypatch):
+    from lagloom.operators import parsed
+
+    words = spark.createDataFrame(
+        [(d, t, 3 * t, max(0, t - 1), 0) for d in range(3) for t in range(9)], "doc_id long, tok int, char_off long, head_tok int, sent long"
+    )
+    text = "ab " * 9
+    spans = spark.createDataFrame([(d, text, 24, 3, 12) for d in range(3)], "doc_id long, text string, a_off int, b_off int, p_off int")
+    spans = spans.withColumns({"a": F.lit("ab"), "b": F.lit("ab"), "pronoun": F.lit("ab")})
+    cut, real = [], parsed.cut_lineage
+    monkeypatch.setattr(parsed, "cut_lineage", lambda df: cut.append(df) or real(df))
+    got = parsed.deptree_features(words, spans).collect()
+    assert {(r.doc_id, r.a_rank, r.b_rank, r.p_rank) for r in got} == {(d, 0.8, 0.1, 0.4) for d in range(3)}
+    # nothing but the first table reads the words themselves
+    plans = [df._jdf.queryExecution().analyzed().toString() for df in cut]
+    assert "LogicalRDD" in plans[0] and cut[0].columns == ["doc_id", "tok", "char_off", "head_tok", "sent"]
